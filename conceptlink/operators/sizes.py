@@ -1,0 +1,22 @@
+"""Size checks before a side of a join may be broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def _as_bytes(setting: str) -> int:
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    text = setting.strip().lower().removesuffix("b")
+    return int(float(text[:-1]) * units[text[-1]]) if text[-1:] in units else int(text)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True when the optimizer's size estimate is within the session's broadcast limit.
+
+    The estimate of a table read from files is the size of those files, so a
+    table that outgrows the limit switches the caller to its shuffling plan.
+    """
+    limit = _as_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= int(size.toString()) <= limit
