@@ -39,7 +39,6 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         points = table(spark, sf_dir, "embeddings")
         n = points.count()
         counts = raw_tokens(spark, sf_dir).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-        # only tokens that can still meet a vector are ranked: at least n tokens reach this count
         ranked = global_index(counts, [F.desc("n"), "token"], "vec_id").filter(F.col("vec_id") < n)
         return ranked.join(points, "vec_id").select("token", F.col("embedding").alias("vec"), "vec_id")
 
@@ -57,7 +56,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         lists = best.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("ranked"))
         literal = tx.list_literal(F.transform("ranked", lambda r: r["token"]))
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-        keywords = F.coalesce(literal, F.lit("[]"))
+        keywords = F.when(F.col("ranked").isNull(), "[]").otherwise(literal)
         return docs.join(lists, "doc_id", "left").select("doc_id", "text", keywords.alias("keywords"))
 
     return _once(spark, sf_dir, "documents", build)

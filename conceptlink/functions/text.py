@@ -6,6 +6,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 # A token is a run of letters, a run of digits, or one other mark.
 TOKEN_PATTERN = r"\p{L}+|[0-9]+|[^\s\p{L}0-9]"
@@ -86,10 +87,13 @@ def list_literal(words: Column) -> Column:
 
 def capitalized(word: Column) -> Column:
     """First letter upper case, the rest lower case."""
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 2**31 - 1)))
+    # a first letter may have a longer capital form, of which only the first letter is upper case
+    first = F.upper(F.substring(word, 1, 1))
+    rest = F.concat(F.substring(first, 2, 9), F.substring(word, 2, 2**31 - 1))
+    return F.concat(F.substring(first, 1, 1), F.lower(rest))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _ascii_letters(words: pd.Series) -> pd.Series:
     def fold(word: str) -> str:
         decomposed = unicodedata.normalize("NFKD", word)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from conceptlink.functions import text as tx
+from conceptlink.functions.stemming import stem
 from conceptlink.operators.ranking import exact_median, global_index
 from conceptlink.operators.sampling import subsample
 
@@ -37,20 +38,14 @@ def most_and_least_common(counts: DataFrame, n: int = 10, word: str = "concept")
     return top.unionByName(least_common(counts, n, word).withColumn("side", F.lit("least")))
 
 
-def text_hits(lists: DataFrame, vectors: DataFrame, words: str = "words", id_col: str = "doc_id") -> DataFrame:
-    """Per text: words and words with a vector; texts without words stay."""
-    per_word = lists.select(id_col, F.explode_outer(words).alias("token"))
+def _coverage(rows: DataFrame, vectors: DataFrame, id_col: str) -> DataFrame:
+    """Report over ``(id, token)`` rows; a text without words has one row with a null token."""
     known = vectors.select("token", F.lit(1).alias("hit"))
-    return (
-        per_word.join(known, "token", "left")
+    per_text = (
+        rows.join(known, "token", "left")
         .groupBy(id_col)
         .agg(F.count("token").alias("n_words"), F.count("hit").alias("n_hit"))
     )
-
-
-def coverage(lists: DataFrame, vectors: DataFrame, words: str = "words", id_col: str = "doc_id") -> DataFrame:
-    """Coverage report of word lists as ``(metric, value)`` rows."""
-    per_text = text_hits(lists, vectors, words, id_col)
     ratio = F.when(F.col("n_words") > 0, F.col("n_hit") / F.col("n_words")).otherwise(0.0)
     by_text = per_text.agg(
         F.avg(ratio).alias("mean_hit_ratio"),
@@ -60,15 +55,29 @@ def coverage(lists: DataFrame, vectors: DataFrame, words: str = "words", id_col:
         F.median("n_words").cast("double").alias("median_words"),
         F.count_if(F.col("n_words") == 0).cast("double").alias("empty_texts"),
     )
-    distinct = lists.select(F.explode(words).alias("token")).distinct()
-    known = vectors.select("token", F.lit(1).alias("hit"))
-    by_word = distinct.join(known, "token", "left").agg(
-        F.count(F.lit(1)).cast("double").alias("unique_words"),
-        F.count("hit").cast("double").alias("unique_known"),
+    by_word = (
+        rows.select("token")
+        .dropna()
+        .distinct()
+        .join(known, "token", "left")
+        .agg(
+            F.count(F.lit(1)).cast("double").alias("unique_words"),
+            F.count("hit").cast("double").alias("unique_known"),
+        )
     )
     return metric_rows(by_text).unionByName(metric_rows(by_word))
 
 
+def coverage(lists: DataFrame, vectors: DataFrame, words: str = "words", id_col: str = "doc_id") -> DataFrame:
+    """Vector coverage of word lists as ``(metric, value)`` rows."""
+    return _coverage(lists.select(id_col, F.explode_outer(words).alias("token")), vectors, id_col)
+
+
+def stemmed_coverage(lists: DataFrame, vectors: DataFrame, words: str = "words", id_col: str = "doc_id") -> DataFrame:
+    """The same report over the stems of the words."""
+    return _coverage(stem_lists(lists, words, id_col), vectors, id_col)
+
+
 def metric_rows(one_row: DataFrame) -> DataFrame:
     """A row of numbers as ``(metric, value)`` rows."""
     pairs = F.array(
@@ -81,140 +90,19 @@ def inspection_sample(df: DataFrame, n: int = 20, id_col: str = "doc_id", seed:
     return subsample(df, n, [id_col], seed)
 
 
-# --- Porter stemming -----------------------------------------------------------------
-# The suffix table below is the published algorithm (Porter 1980) with the usual
-# later rule changes. Step -> (suffix, replacement) in matching order.
-
-IRREGULAR = {
-    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie",
-    "news": "news", "innings": "inning", "inning": "inning", "outings": "outing",
-    "outing": "outing", "cannings": "canning", "canning": "canning", "howe": "howe",
-    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
-}
-PLURALS = [("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")]
-DERIVED = [
-    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"),
-    ("izer", "ize"), ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"),
-    ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"), ("ator", "ate"),
-    ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"),
-    ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"), ("fulli", "ful"),
-]
-QUALITIES = [
-    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"),
-    ("ical", "ic"), ("ful", ""), ("ness", ""),
-]
-ENDINGS = [
-    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
-    "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
-]
-
-POSITIVE = "^C*V+C"  # at least one vowel run followed by a consonant
-LONG = "^C*V+C+V+C"  # at least two
-SINGLE = "^C*V+C+V*$"  # exactly one
-
-
-def _letters(word: Column) -> Column:
-    """Word as a string of V and C; y is a vowel right after a consonant."""
-    vowel_y = F.regexp_replace(word, "(?<=[^aeiouy])y", "a")
-    return F.regexp_replace(F.regexp_replace(vowel_y, "[aeiou]", "V"), "[^V]", "C")
-
-
-def _cut(word: Column, n: int) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - n)
-
-
-def _short_syllable(stem: Column) -> Column:
-    """Ends consonant-vowel-consonant, the last not w, x or y; or a vowel and a consonant alone."""
-    shape = _letters(stem)
-    return (shape.rlike("CVC$") & ~stem.rlike("[wxy]$")) | (shape == "VC")
-
-
-def _first_rule(word: Column, rules: list[tuple[str, str]], measure: str | None) -> Column:
-    """Replace the first matching suffix when its stem has the measure."""
-    result = None
-    for suffix, ending in rules:
-        stem = _cut(word, len(suffix))
-        changed = F.concat(stem, F.lit(ending))
-        if measure:
-            changed = F.when(_letters(stem).rlike(measure), changed).otherwise(word)
-        hit = word.endswith(suffix)
-        result = F.when(hit, changed) if result is None else result.when(hit, changed)
-    return result.otherwise(word)
+# --- stems ---------------------------------------------------------------------------
 
 
 def stem_words(words: DataFrame, word: str = "token", out: str = "stem") -> DataFrame:
-    """Porter stems of a word table; give it distinct words and join the result back."""
-    w = F.col("_w")
-    df = words.withColumn("_w", F.lower(word))
-
-    df = df.withColumn(
-        "_w",
-        F.when(w.endswith("ies") & (F.length(w) == 4), _cut(w, 1)).otherwise(_first_rule(w, PLURALS, None)),
-    )
-
-    eed = F.when(_letters(_cut(w, 3)).rlike(POSITIVE), _cut(w, 1)).otherwise(w)
-    df = df.withColumn("_from", w).withColumn(
-        "_w",
-        F.when(w.endswith("ied"), F.when(F.length(w) == 4, _cut(w, 1)).otherwise(_cut(w, 2)))
-        .when(w.endswith("eed"), eed)
-        .when(w.endswith("ed") & _letters(_cut(w, 2)).contains("V"), _cut(w, 2))
-        .when(w.endswith("ing") & _letters(_cut(w, 3)).contains("V"), _cut(w, 3))
-        .otherwise(w),
-    )
-    came_off = (w != F.col("_from")) & F.col("_from").rlike("(ed|ing)$") & ~F.col("_from").rlike("(eed|ied)$")
-    tidied = (
-        F.when(w.rlike("(at|bl|iz)$"), F.concat(w, F.lit("e")))
-        .when(w.rlike(r"(.)\1$") & _letters(w).endswith("C"), F.when(w.rlike("[lsz]$"), w).otherwise(_cut(w, 1)))
-        .when(_letters(w).rlike(SINGLE) & _short_syllable(w), F.concat(w, F.lit("e")))
-        .otherwise(w)
-    )
-    df = df.withColumn("_w", F.when(came_off, tidied).otherwise(w))
-
-    before_y = _letters(_cut(w, 1))
-    df = df.withColumn(
-        "_w",
-        F.when(w.endswith("y") & (F.length(w) > 2) & before_y.endswith("C"), F.concat(_cut(w, 1), F.lit("i"))).otherwise(w),
-    )
-
-    # "-alli" gives "-al", and the rules then apply once more to that
-    df = df.withColumn(
-        "_w",
-        F.when(w.endswith("alli") & _letters(_cut(w, 4)).rlike(POSITIVE), _cut(w, 2)).otherwise(w),
-    )
-    logi = F.when(_letters(_cut(w, 3)).rlike(POSITIVE), _cut(w, 1)).otherwise(w)
-    df = df.withColumn("_w", F.when(w.endswith("logi"), logi).otherwise(_first_rule(w, DERIVED, POSITIVE)))
-
-    df = df.withColumn("_w", _first_rule(w, QUALITIES, POSITIVE))
-
-    ending = None
-    for suffix in ENDINGS:
-        stem = _cut(w, len(suffix))
-        wide = _letters(stem).rlike(LONG)
-        if suffix == "ion":
-            wide = wide & stem.rlike("[st]$")
-        dropped = F.when(wide, stem).otherwise(w)
-        hit = w.endswith(suffix)
-        ending = F.when(hit, dropped) if ending is None else ending.when(hit, dropped)
-    df = df.withColumn("_w", ending.otherwise(w))
-
-    stem = _cut(w, 1)
-    drop_e = _letters(stem).rlike(LONG) | (_letters(stem).rlike(SINGLE) & ~_short_syllable(stem))
-    df = df.withColumn("_w", F.when(w.endswith("e") & drop_e, stem).otherwise(w))
-    df = df.withColumn("_w", F.when(w.endswith("ll") & _letters(_cut(w, 1)).rlike(LONG), _cut(w, 1)).otherwise(w))
-
-    lowered = F.lower(word)
-    fixed = F.element_at(F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair]), lowered)
-    kept = F.when(F.length(lowered) <= 2, lowered).otherwise(w)
-    return df.withColumn(out, F.coalesce(fixed, kept)).drop("_w", "_from")
-
-
-def stemmed(words: DataFrame, word: str = "token") -> DataFrame:
-    """Word rows with their stem; each distinct word is stemmed once."""
-    return words.join(stem_words(words.select(word).distinct(), word), word)
+    """Stems of a word table; give it distinct words and join the result back."""
+    return words.withColumn(out, stem(F.col(word)))
 
 
 def stem_lists(lists: DataFrame, words: str = "words", id_col: str = "doc_id") -> DataFrame:
-    """Word rows of each text as stems, texts without words kept as a null row."""
+    """Stems of each text's words as ``(id, token)``; each distinct word is stemmed once.
+
+    A text without words keeps one row with a null token.
+    """
     rows = lists.select(id_col, F.explode_outer(words).alias("token"))
     stems = stem_words(rows.select("token").dropna().distinct())
     return rows.join(stems, "token", "left").select(id_col, F.col("stem").alias("token"))
