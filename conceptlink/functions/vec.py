@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
@@ -51,10 +53,18 @@ def relu(a: Column) -> Column:
     return F.transform(a, lambda x: F.greatest(x, F.lit(0.0)))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def softmax(a: Column) -> Column:
-    """Shifted by the largest entry so that large scores do not overflow."""
-    shifted = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
-    return F.transform(shifted, lambda e: e / total(shifted))
+    """Shares by exponential, shifted by the largest entry so that large scores do not overflow."""
+
+    def shares(e: Column) -> Column:
+        return let(total(e), lambda t: F.transform(e, lambda x: x / t))
+
+    return let(F.array_max(a), lambda top: let(F.transform(a, lambda x: F.exp(x - top)), shares))
 
 
 def affinity(cos: Column, sigma: float = 0.5) -> Column:

@@ -19,4 +19,4 @@ def fits_broadcast(df: DataFrame) -> bool:
     """
     limit = _as_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(size.toString()) <= limit
+    return 0 <= int(str(size)) <= limit
