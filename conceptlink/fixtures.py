@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from conceptlink.functions import text as tx
 from conceptlink.operators.ranking import global_index
-from conceptlink.operators.staging import written
+from conceptlink.operators.staging import spread, written
 
 _session_tables: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -28,7 +28,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 def raw_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lowercase tokens ``(doc_id, token)``, punctuation and stop words included."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.explode(tx.tokens(F.col("text"), lowercase=True)).alias("token"))
 
 
@@ -57,7 +57,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         literal = tx.list_literal(F.transform("ranked", lambda r: r["token"]))
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
         keywords = F.when(F.col("ranked").isNull(), "[]").otherwise(literal)
-        return docs.join(lists, "doc_id", "left").select("doc_id", "text", keywords.alias("keywords"))
+        joined = docs.join(lists, "doc_id", "left").select("doc_id", "text", keywords.alias("keywords"))
+        # in as many files as there are cores, however small the table
+        return joined.repartition(spark.sparkContext.defaultParallelism, "doc_id")
 
     return _once(spark, sf_dir, "documents", build)
 

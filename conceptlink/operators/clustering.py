@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel, PowerIterationClustering
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.clustering import StreamingKMeansModel
@@ -22,10 +24,20 @@ from conceptlink.operators.summaries import bounding_box, cluster_means, silhoue
 from conceptlink.operators.vectors import dimension, pca
 
 
+FITS_AT_ONCE = 5
+
+
 def _vectors(points: DataFrame, vec: str = "vec") -> DataFrame:
     return points.withColumn("features", array_to_vector(vx.as_doubles(F.col(vec))))
 
 
+def _at_once(fit: Callable, settings: Sequence) -> list:
+    """Independent fits over one cached frame, a few at a time, so that their small jobs overlap."""
+    with ThreadPoolExecutor(max_workers=min(FITS_AT_ONCE, len(settings))) as pool:
+        futures = [pool.submit(inheritable_thread_target(lambda s=s: fit(s))) for s in settings]
+        return [f.result() for f in futures]
+
+
 # --- k-means ---------------------------------------------------------------------------
 
 
@@ -33,12 +45,20 @@ def fit_kmeans(points: DataFrame, k: int, n_init: int = 10, max_iter: int = 100,
     """Best of ``n_init`` k-means fits by within-cluster squared distance."""
     frame = _vectors(points).select("features").persist()
     try:
-        fits = [KMeans(k=k, maxIter=max_iter, seed=seed + i).fit(frame) for i in range(n_init)]
+        fits = _at_once(lambda i: KMeans(k=k, maxIter=max_iter, seed=seed + i).fit(frame), range(n_init))
     finally:
         frame.unpersist()
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
+def within_cost(points: DataFrame, k: int, n_init: int = 1, seed: int = 7) -> float:
+    """Within-cluster squared distance of the best k-means fit; for one cluster that around the mean."""
+    if k > 1:
+        return fit_kmeans(points, k, n_init, seed=seed).summary.trainingCost
+    spread = [F.var_pop(F.col("vec")[i]) for i in range(dimension(points))]
+    return float(points.agg((F.count(F.lit(1)) * sum(spread, F.lit(0.0))).alias("cost")).first()[0])
+
+
 def assign(model, points: DataFrame) -> DataFrame:
     """``points`` with the ``cluster_id`` a fitted model gives them."""
     scored = model.transform(_vectors(points))
@@ -200,12 +220,14 @@ def suggested_counts(gaps: DataFrame) -> list[int]:
 
 def silhouette_scan(points: DataFrame, candidates: Sequence[int], seed: int = 10) -> DataFrame:
     """``(k, silhouette)`` of a k-means fit per candidate; the best k has the highest score."""
-    rows = []
     base = points.select("id", "vec").persist()
+
+    def score(k: int) -> tuple[int, float]:
+        labelled = assign(fit_kmeans(base, k, n_init=1, seed=seed), base)
+        return int(k), float(silhouette_score(labelled).first()[0])
+
     try:
-        for k in candidates:
-            labelled = assign(fit_kmeans(base, k, n_init=1, seed=seed), base)
-            rows.append((int(k), float(silhouette_score(labelled).first()[0])))
+        rows = _at_once(score, candidates)
     finally:
         base.unpersist()
     return points.sparkSession.createDataFrame(rows, "k int, silhouette double")
@@ -250,7 +272,7 @@ def gap_statistic(
     def costs(df: DataFrame) -> list[float]:
         frame = df.select("id", "vec").persist()
         try:
-            return [fit_kmeans(frame, k, n_init, seed=seed).summary.trainingCost for k in candidates]
+            return _at_once(lambda k: within_cost(frame, k, n_init, seed), candidates)
         finally:
             frame.unpersist()
 
