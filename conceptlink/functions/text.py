@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from conceptlink.functions.vec import let
+
 # A token is a run of letters, a run of digits, or one other mark.
 TOKEN_PATTERN = r"\p{L}+|[0-9]+|[^\s\p{L}0-9]"
 
@@ -60,6 +62,29 @@ def clean_tokens(text: Column, lowercase: bool = False, remove_stopwords: bool =
     return without_punctuation(words)
 
 
+def counted(words: Column) -> Column:
+    """Distinct words of a list with their number, as ``array<struct<token, n>>``; counted within the row."""
+
+    def runs(ordered: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(ordered)),
+            lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2)),
+        )
+        return let(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda s, k: F.struct(
+                    F.get(ordered, s - 1).alias("token"),
+                    (F.coalesce(F.get(at, k + 1), F.size(ordered) + 1) - s).alias("n"),
+                ),
+            ),
+        )
+
+    none = F.array().cast("array<struct<token:string,n:int>>")
+    return F.when(F.size(words) > 0, let(F.array_sort(words), runs)).otherwise(none)
+
+
 def corpus_tokens(text: Column) -> Column:
     """Corpus tokens: ``, ! ; -`` runs become a full stop, the rest is lowercased,
     and only letter words, full stops and emoji stay."""

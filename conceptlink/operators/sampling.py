@@ -10,6 +10,9 @@ from conceptlink.functions.hashing import below, draw, order_key
 from conceptlink.operators.ranking import global_index, hash_rank
 
 
+DRAW_RUN = 100_000
+
+
 def subsample(df: DataFrame, n: int, id_cols: Sequence[str], seed: int = 7) -> DataFrame:
     """Exactly ``n`` rows without replacement (all rows when there are fewer)."""
     return hash_rank(df, id_cols, seed, upto=n).drop("rank")
@@ -72,7 +75,10 @@ def stratified_sample(
     if not replace:
         placed = df.join(quotas.drop("size"), label)
         return hash_rank(placed, id_cols, seed, [label], upto=F.col("quota")).drop("quota", "rank")
-    draws = quotas.select(label, "size", F.explode(F.sequence(F.lit(1), F.col("quota"))).alias("draw"))
+    # a large quota is cut into short runs of draws, so no row carries a long list
+    runs = quotas.filter("quota > 0").select(label, "size", "quota", F.explode(F.sequence(F.lit(1), F.col("quota"), F.lit(DRAW_RUN))).alias("first"))
+    last = F.least(F.col("first") + DRAW_RUN - 1, F.col("quota"))
+    draws = runs.select(label, "size", F.explode(F.sequence("first", last)).alias("draw"))
     draws = draws.withColumn("rank", draw(order_key(seed, label, "draw")) % F.col("size") + 1).drop("size")
     return hash_rank(df, id_cols, seed, [label]).join(draws, [label, "rank"]).drop("rank")
 

@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptlink.functions import vec as vx
+from conceptlink.functions.text import counted
 from conceptlink.operators.sizes import fits_broadcast
 
 
@@ -34,17 +35,22 @@ def doc_vectors(
     without words are dropped when ``match_rows`` is off.
 
     A vector table within the broadcast limit joins without moving the words,
-    and each task sums its texts before the one shuffle by text. A larger table
-    is joined by shuffle on the word, after repeats within a text are folded.
+    and each task sums its texts before the one shuffle by text. For a larger
+    table the repeats within a text are counted in its row, the counts are joined
+    by shuffle on the word (hot words are split by the skew join), and the single
+    precision vectors, not partial sums, travel on to their text.
     """
     dim = dimension(vectors)
-    rows = lists.select(id_col, (F.explode_outer if match_rows else F.explode)(words).alias("token"))
+    explode = F.explode_outer if match_rows else F.explode
+    known = vectors.select("token", "vec")
     if fits_broadcast(vectors):
+        rows = lists.select(id_col, explode(words).alias("token"))
         rows = rows.withColumn("_n", F.when(F.col("token").isNotNull(), 1).otherwise(0))
-        joined = rows.join(F.broadcast(vectors.select("token", "vec")), "token", "left")
+        joined = rows.join(F.broadcast(known), "token", "left")
     else:
-        rows = rows.groupBy(id_col, "token").agg(F.count("token").alias("_n"))
-        joined = rows.join(vectors.select("token", "vec"), "token", "left")
+        rows = lists.select(id_col, explode(counted(F.col(words))).alias("_w"))
+        rows = rows.select(id_col, F.col("_w.token").alias("token"), F.coalesce("_w.n", F.lit(0)).alias("_n"))
+        joined = rows.join(known, "token", "left").repartition(id_col)
     weight = F.col("_n")
     sums = [F.sum(F.col("vec")[i].cast("double") * weight).alias(f"_s{i}") for i in range(dim)]
     summed = joined.groupBy(id_col).agg(
