@@ -16,6 +16,7 @@ from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
 from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptlink.functions import vec as vx
+from conceptlink.operators.components import connected_components
 from conceptlink.operators.neighbors import local_affinity, nearest
 from conceptlink.operators.ranking import global_index
 from conceptlink.operators.sampling import subsample
@@ -25,6 +26,7 @@ from conceptlink.operators.vectors import dimension, pca
 
 
 FITS_AT_ONCE = 5
+ZERO = 1e-7  # Laplacian eigenvalues below this are zero
 
 
 def _vectors(points: DataFrame, vec: str = "vec") -> DataFrame:
@@ -202,6 +204,10 @@ def eigengap(edges: DataFrame, top: int = 5, components: int = 20) -> DataFrame:
     k = min(components, n - 1)
     values = CoordinateMatrix(entries, n, n).toRowMatrix().computeSVD(k).s.toArray()
     lam = np.sort(np.maximum(2.0 * (1.0 - values), 0.0))
+    # the solver may miss copies of a repeated value; zero repeats once per connected component
+    parts = connected_components(places.select(F.col("src").alias("id")), edges.select("src", "dst"))
+    zeros = parts.select("component").distinct().count()
+    lam = np.concatenate([np.zeros(zeros), lam[lam > ZERO]])[: max(components, zeros + 1)]
     gaps = np.diff(lam)
     best = set(np.argsort(-gaps, kind="stable")[:top].tolist())
     rows = [

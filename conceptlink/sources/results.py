@@ -30,9 +30,8 @@ def save_clusters(
 
 def load_clusters(spark: SparkSession, path: str, identifier: str, points: DataFrame) -> DataFrame:
     """Saved cluster ids joined to ``points`` by id; fails unless every point has one."""
-    saved = spark.read.schema("id long, cluster_id int").csv(
-        f"{path}/cluster_id-{identifier}.csv", header=True, enforceSchema=False
-    )
+    saved = spark.read.csv(f"{path}/cluster_id-{identifier}.csv", header=True)
+    saved = saved.select(F.col("id").cast("long").alias("id"), F.col("cluster_id").cast("int").alias("cluster_id"))
     joined = points.join(saved, "id", "left")
     known = F.assert_true(F.col("cluster_id").isNotNull(), F.lit("a row has no saved cluster"))
     return joined.filter(known.isNull())
