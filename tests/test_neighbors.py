@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conceptlink.operators import density, neighbors
+from conceptlink.operators import components, density, neighbors
 from conceptlink.operators.components import connected_components
 
 
@@ -95,7 +95,9 @@ def test_density_chain(spark):
     assert count == 2
 
 
-def test_components_of_a_long_chain_a_star_and_loners(spark):
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_components_of_a_long_chain_a_star_and_loners(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
     chain = [(i, i + 1) for i in range(100, 400)]
     star = [(1000, i) for i in range(1001, 1300)]
     edges = spark.createDataFrame(chain + star, "src long, dst long")
