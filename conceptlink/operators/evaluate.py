@@ -13,7 +13,6 @@ from pyspark.ml import Estimator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from conceptlink.operators.corpus import metric_rows
 from conceptlink.operators.ranking import hash_rank, running_totals
 from conceptlink.operators.staging import written
 

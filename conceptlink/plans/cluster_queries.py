@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conceptlink import fixtures as fx
-from conceptlink.functions import vec as vx
 from conceptlink.functions.vec import tidy as tidy_col
 from conceptlink.operators import clustering, density, neighbors, summaries
-from conceptlink.operators.staging import written
 from conceptlink.plans import cluster_analysis
 from conceptlink.plans.registry import query
 from conceptlink.plans.source_queries import fresh_path

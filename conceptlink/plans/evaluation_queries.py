@@ -9,7 +9,7 @@ from conceptlink import fixtures as fx
 from conceptlink.functions.vec import tidy as tidy_col
 from conceptlink.operators import classify, evaluate, pairs, vectors
 from conceptlink.operators.staging import written
-from conceptlink.plans.pair_queries import built, built_sql, concept_lists
+from conceptlink.plans.pair_queries import built, built_sql
 from conceptlink.plans.registry import query
 from conceptlink.plans.twins import hash_below, hash_key, tidy, with_views
 from conceptlink.plans.vector_queries import doc_vecs

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from conceptlink.operators import components, density, neighbors
 from conceptlink.operators.components import connected_components
