@@ -2,34 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from conceptlink.operators.staging import written
 
 
-SMALL = 100_000  # a graph of at most this many edges is finished in one task
-
-
-def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Star edges of a small graph by union-find."""
-    root: dict = {}
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for pdf in batches:
-        for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist()):
-            a, b = find(u), find(v)
-            root[max(a, b)] = min(a, b)
-    pairs = [(x, find(x)) for x in list(root)]
-    yield pd.DataFrame(pairs, columns=["u", "v"])
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hook every larger neighbour of a vertex to the smallest vertex around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -54,16 +31,13 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
 
     Alternating star contractions (Kiveris et al., 2014): a few rounds whatever
     the diameter, smallest neighbours found by combined aggregation, and every
-    round written out so that the plan does not grow. Once the edges are counted
-    and few, one task finishes the rest.
+    round written out so that the plan does not grow.
     """
     u, v = F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")
     current = written(edges.filter("src <> dst").select(u, v).distinct())
     seen = _fingerprint(current)
     for _ in range(max_rounds):
-        if seen[0] <= SMALL:
-            kind = dict(current.dtypes)["u"]
-            current = current.coalesce(1).mapInPandas(_finish, f"u {kind}, v {kind}")
+        if not seen[0]:
             break
         current = written(_small_star(_large_star(current)))
         now = _fingerprint(current)
