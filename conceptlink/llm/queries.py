@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from conceptlink.llm import line_dedup, ngram_join, packing, suffix_dedup
+from conceptlink.llm import decontaminate, line_dedup, ngram_join, packing, pii, quality, suffix_dedup
 from conceptlink.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +29,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents"), span=100).drop("kept")
 
 
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 LINE_SQL = r"""
 with lines as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -70,3 +81,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), size=1024)
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
