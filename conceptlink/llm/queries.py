@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from conceptlink.llm import decontaminate, line_dedup, ngram_join, packing, pii, quality, suffix_dedup
+from conceptlink.llm import chat, decontaminate, embedding_dedup, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, warc
 from conceptlink.llm.common import table
+from conceptlink.operators.staging import staging_root, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -73,6 +75,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op5_warc")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{staging_root(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(table(spark, sf_dir, "pages"), path, least_bytes=0)
+    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_embedding_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 @query("op7_ngram_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"), shingle=4, percent=85)
@@ -86,3 +100,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_chat_format")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    return chat.transcript_report(written(chat.format_conversations(chat.as_tree(rows.unionByName(extra)))))
