@@ -169,6 +169,14 @@ def _score(net: Network):
     return run
 
 
+def _keep(net: Network, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([net.score(t) >= threshold for t in texts(batch)], pa.bool_()))
+
+    return run
+
+
 def score_documents(docs: DataFrame, net: Network, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: better quality) and predicted (1 from ``threshold``) of each row of ``docs``.
 
@@ -180,3 +188,8 @@ def score_documents(docs: DataFrame, net: Network, threshold: float = 0.7) -> Da
     rows = docs.select("doc_id", held_out_row().alias("held_out"), "text")
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double"
     return rows.mapInArrow(_score(net), kind).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def filter_documents(docs: DataFrame, net: Network, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``threshold``; they are judged where they are read."""
+    return docs.mapInArrow(_keep(net, threshold), docs.schema)
