@@ -67,26 +67,26 @@ def _classes(n: int, percent: int) -> int:
     return 1 << (most.bit_length() - 1)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a set; two sets that reach the similarity have one in common.
+def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Signatures of a set, and how many frequent shingles its plain prefix has. Similar sets share a signature.
 
     Shingles are ordered rare ones first, then by hash. With n of them and an overlap of at least a, the first
     common one is among the first n - a + 1 of either set. If it is rare, that single shingle is the signature. If
     not, all common ones are frequent, and the first n - a + g + 1 of either set hold g + 1 of them; dealt
     to g classes, two fall into one class, and that pair is the signature. g depends on the size alone; a set
-    also takes the g of every smaller size it may meet.
+    also takes the g of every smaller size it may meet. The lowest bit tells pairs (1) from single shingles (0).
     """
     n = len(tokens)
     least = _least_overlap(n, percent)
     if n - least == 0:
-        return np.empty(0, U64)  # only an equal set is similar enough, and those are folded before
+        return np.empty(0, U64), 0  # only an equal set is similar enough, and those are folded before
     common = frequent[_bucket(tokens)]
     order = np.concatenate([np.sort(mix(tokens[~common])), np.sort(mix(tokens[common]))])
     rare = int((~common).sum())
     first = n - least + 1
-    out = [order[: min(first, rare)]]
+    out = [order[: min(first, rare)] & ~U64(1)]
     if least == 1:
-        out.append(order[rare:first])
+        out.append(order[rare:first] & ~U64(1))
     low, high = (_classes(m, percent).bit_length() for m in (least, n))
     for g in (1 << e for e in range(low - 1, high)) if rare < n else ():
         head = order[rare : min(n, first + g)]
@@ -95,8 +95,8 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
             own = head[kind == U64(c)]
             i, j = np.triu_indices(len(own), 1)
             if len(i):
-                out.append(combine([np.full(len(i), g, U64), own[i], own[j]]))
-    return np.concatenate(out)
+                out.append(combine([np.full(len(i), g, U64), own[i], own[j]]) | U64(1))
+    return np.concatenate(out), max(0, first - rare)
 
 
 def _profile(k: int, percent: int, frequent: np.ndarray):
@@ -105,11 +105,12 @@ def _profile(k: int, percent: int, frequent: np.ndarray):
             ids = batch.column("doc_id")
             for at, group in pieces(texts(batch)):
                 sets = shingle_sets(group, k)
-                sigs = [signatures(s, frequent, percent) if i.is_valid else np.empty(0, U64) for s, i in zip(sets, ids[at : at + len(group)])]
+                sigs, common = zip(*(signatures(s, frequent, percent) for s in sets))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids[at : at + len(group)],
                         pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(common, pa.int64()),
                         pa.array(np.array([mix(s).sum() for s in sets], U64).view(np.int64)),
                         pa.array(np.array([mix(s * U64(BASE) + U64(1)).sum() for s in sets], U64).view(np.int64)),
                         pa.ListArray.from_arrays(
@@ -117,7 +118,7 @@ def _profile(k: int, percent: int, frequent: np.ndarray):
                             pa.array(np.concatenate(sigs).view(np.int64)),
                         ),
                     ],
-                    ["doc_id", "n", "h1", "h2", "sigs"],
+                    ["doc_id", "n", "f", "h1", "h2", "sigs"],
                 )
 
     return run
@@ -140,58 +141,77 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     Input is ordered by signature and document. Only the current list's head is kept, however long the list.
     """
-    sig0 = doc0 = n0 = None
+    names, held = ["sig", "doc_id", "n", "f"], None
     shown = False
     for batch in batches:
-        sig, doc, n = (batch.column(c).to_numpy() for c in ("sig", "doc_id", "n"))
-        if not len(sig):
+        col = [batch.column(c).to_numpy() for c in names]
+        if not batch.num_rows:
             continue
-        if sig0 is not None:
-            sig, doc, n = (np.concatenate(([a], b)) for a, b in ((sig0, sig), (doc0, doc), (n0, n)))
+        if held is not None:
+            col = [np.concatenate(([h], c)) for h, c in zip(held, col)]
+        sig = col[0]
         start = np.concatenate(([True], sig[1:] != sig[:-1]))
         head = np.flatnonzero(start)[np.cumsum(start) - 1]
         keep = ~start | np.append(~start[1:], False)
-        if sig0 is not None and shown:
+        if held is not None and shown:
             keep[0] = False
         out = np.flatnonzero(keep)
         if len(out):
-            yield pa.RecordBatch.from_pydict({"sig": sig[out], "doc_id": doc[out], "n": n[out], "hub": doc[head[out]], "hub_n": n[head[out]]})
+            hubs = {"hub": col[1][head[out]], "hub_n": col[2][head[out]], "hub_f": col[3][head[out]]}
+            yield pa.RecordBatch.from_pydict({k: c[out] for k, c in zip(names, col)} | hubs)
         last = head[-1]
-        shown = (shown and last == 0 and sig0 is not None) or last < len(sig) - 1
-        sig0, doc0, n0 = sig[last], doc[last], n[last]
+        shown = (shown and last == 0 and held is not None) or last < len(sig) - 1
+        held = [c[last] for c in col]
+
+
+def needed(n, m, f, g, percent: int, most=max, least=min):
+    """Single signatures that two sets of sizes n and m must share to be similar, by what their prefixes leave out.
+
+    An overlap of a = percent * (n + m) / (100 + percent) is needed, and all but the plain prefix of one set can hold at most
+    its own least overlap - 1 of it. Of the common ones in both prefixes, only the f and g frequent ones have no
+    signature of their own.
+    """
+    overlap = (percent * (n + m) + 99 + percent) // (100 + percent)
+    return overlap - (most((n * percent + 99) // 100, (m * percent + 99) // 100) - 1) - least(f, g)
 
 
 def _pairs(percent: int):
     """Pairs of documents of one block of a list that lie in different components and whose sizes allow a link."""
 
     def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        side, doc, n, comp, hub = rows
+        sig, side, doc, n, f, comp = rows
         for s in range(0, len(doc), 256):
             i = np.arange(s, min(s + 256, len(doc)))[:, None]
             j = np.arange(len(doc))[None, :]
-            ok = (doc[i] < doc[j]) & (comp[i] != comp[j]) & (doc[i] != hub[i]) & (doc[j] != hub[j])
+            ok = (doc[i] < doc[j]) & (comp[i] != comp[j])
             ok &= (side[i] < 0) | (side[i] != side[j])
             ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             a, b = np.nonzero(ok)
             if len(a):
-                yield pa.RecordBatch.from_pydict({"a": doc[a + s], "b": doc[b]})
+                a = a + s
+                need = needed(n[a], n[b], f[a], f[b], percent, np.maximum, np.minimum)
+                yield pa.RecordBatch.from_pydict({"a": doc[a], "b": doc[b], "single": 1 - (sig[a] & 1), "need": need})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["sig", "i", "j", "side", "doc_id", "n", "component", "hub"]
+        names = ["i", "j", "sig", "side", "doc_id", "n", "f", "component"]
         rest = np.empty((len(names), 0), np.int64)
         for batch in batches:
             rest = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in names])], axis=1)
             cut = np.flatnonzero((rest[:3, 1:] != rest[:3, :-1]).any(axis=0)) + 1
             for a, b in zip(np.concatenate(([0], cut[:-1])).astype(int), cut):
-                yield from emit(rest[3:, a:b])
+                yield from emit(rest[2:, a:b])
             if len(cut):
                 rest = rest[:, cut[-1] :]
-        yield from emit(rest[3:])
+        yield from emit(rest[2:])
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Verified links among candidate pairs that share enough single signatures."""
+    pairs = written(pairs.groupBy("a", "b").agg(F.sum("single").alias("shared"), F.max("need").alias("need")).filter("shared >= need").select("a", "b"))
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    sets = written(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_token_sets(shingle), "doc_id long, tokens array<long>"))
     x = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     y = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -213,42 +233,46 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     Equal sets are folded first. The rest meet through ``signatures``. Each list of documents with
     one signature is first compared with its head alone, which is linear and joins large groups of
     near copies; what is still in different components is then compared pair by pair, in blocks for long
-    lists. Links inside one component cannot change the result and are not looked for, all others are.
+    lists. Only pairs with as many common single shingles in their prefixes as ``needed`` are verified. Links inside one component cannot change the result and are not looked for, all others are.
     """
     frequent = frequent_buckets(docs, shingle)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kind = "doc_id long, n long, h1 long, h2 long, sigs array<long>"
+    kind = "doc_id long, n long, f long, h1 long, h2 long, sigs array<long>"
     profiles = written(known.mapInArrow(_profile(shingle, percent, frequent), kind))
     present = profiles.filter("doc_id is not null and n > 0")
     folded = written(present.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first")))
     same = present.select("doc_id", "n", "h1", "h2").join(folded, ["n", "h1", "h2"]).select(F.col("doc_id").alias("src"), F.col("first").alias("dst"))
     heads = present.filter(F.size("sigs") > 0).join(folded.withColumnRenamed("first", "doc_id"), ["n", "h1", "h2", "doc_id"], "left_semi")
-    rows = heads.select(F.explode("sigs").alias("sig"), "doc_id", "n").repartition("sig").sortWithinPartitions("sig", "doc_id", "n")
-    lists = written(rows.mapInArrow(_shared_lists, "sig long, doc_id long, n long, hub long, hub_n long"))
+    rows = heads.select(F.explode("sigs").alias("sig"), "doc_id", "n", "f").repartition("sig").sortWithinPartitions("sig", "doc_id", "n", "f")
+    lists = written(rows.mapInArrow(_shared_lists, "sig long, doc_id long, n long, f long, hub long, hub_n long, hub_f long"))
 
-    wanted = lists.select("doc_id").distinct()
-    sets = written(known.join(wanted, "doc_id", "left_semi").mapInArrow(_token_sets(shingle), "doc_id long, tokens array<long>"))
+    single = 1 - F.col("sig").bitwiseAND(1)
     near = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-    to_hub = lists.filter(near & (F.col("hub") != F.col("doc_id"))).select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _links(to_hub, sets, percent)
-    groups = written(connected_components(wanted.withColumnRenamed("doc_id", "id"), links))
+    need = F.expr(
+        f"({percent} * (n + hub_n) + {99 + percent}) div {100 + percent}"
+        f" - ((greatest(n, hub_n) * {percent} + 99) div 100 - 1) - least(f, hub_f)"
+    )
+    to_hub = lists.filter(near & (F.col("hub") != F.col("doc_id")))
+    to_hub = to_hub.select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), single.alias("single"), need.alias("need"))
+    links = _links(to_hub, known, shingle, percent)
+    linked = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    groups = written(connected_components(linked, links))
 
-    placed = lists.join(groups.withColumnRenamed("id", "doc_id"), "doc_id")
+    placed = lists.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     open_lists = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
     open_lists = open_lists.filter("low <> high").select("sig", "size")
     blocks = F.ceil(F.col("size") / _BLOCK).cast("long")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
     dealt = (
         placed.join(open_lists, "sig")
         .withColumn("blocks", blocks)
-        .withColumn("own", own)
+        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).cast("long").alias("side"), "doc_id", "n", "component", "hub")
+        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "n", "f", "component")
+        # in block (i, i) all rows meet, in block (i, j) only those of different halves
+        .withColumn("side", F.when(F.col("i") == F.col("j"), F.lit(-1).cast("long")).otherwise(F.col("own")))
     )
-    # within block (i, i) all meet; in block (i, j) only rows of different blocks do
-    dealt = dealt.withColumn("side", F.when(F.col("i") == F.col("j"), F.lit(-1)).otherwise(F.col("side")))
-    cross = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_pairs(percent), "a long, b long").distinct()
-    more = _links(cross, sets, percent)
+    cross = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(_pairs(percent), "a long, b long, single long, need long")
+    more = _links(cross, known, shingle, percent)
 
     vertices = present.select(F.col("doc_id").alias("id")).distinct()
     final = connected_components(vertices, same.unionByName(links).unionByName(more))
