@@ -72,8 +72,8 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[
 
     Shingles are ordered rare ones first, then by hash. With n of them and an overlap of at least a, the first
     common one is among the first n - a + 1 of either set. If it is rare, that single shingle is the signature. If
-    not, all common ones are frequent, and the first n - a + g + 1 of either set hold g + 1 of them; dealt
-    to g classes, two fall into one class, and that pair is the signature. g depends on the size alone; a set
+    not, all common ones are frequent, so a set with fewer than a frequent ones needs no more signatures; in
+    others, the first n - a + g + 1 hold g + 1 common ones. Dealt to g classes, two fall into one class, and that pair is the signature. g depends on the size alone; a set
     also takes the g of every smaller size it may meet. The lowest bit tells pairs (1) from single shingles (0).
     """
     n = len(tokens)
@@ -88,7 +88,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[
     if least == 1:
         out.append(order[rare:first] & ~U64(1))
     low, high = (_classes(m, percent).bit_length() for m in (least, n))
-    for g in (1 << e for e in range(low - 1, high)) if rare < n else ():
+    for g in (1 << e for e in range(low - 1, high)) if n - rare >= least else ():
         head = order[rare : min(n, first + g)]
         kind = head % U64(g)
         for c in range(g) if len(head) > 1 else ():
@@ -187,9 +187,12 @@ def _pairs(percent: int):
             ok &= (side[i] < 0) | (side[i] != side[j])
             ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
             a, b = np.nonzero(ok)
+            a = a + s
+            need = needed(n[a], n[b], f[a], f[b], percent, np.maximum, np.minimum)
+            # a pair that needs a common single shingle is met in that one's list
+            use = (sig[a] & 1 == 0) | (need <= 0)
+            a, b, need = a[use], b[use], need[use]
             if len(a):
-                a = a + s
-                need = needed(n[a], n[b], f[a], f[b], percent, np.maximum, np.minimum)
                 yield pa.RecordBatch.from_pydict({"a": doc[a], "b": doc[b], "single": 1 - (sig[a] & 1), "need": need})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +255,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
         f"({percent} * (n + hub_n) + {99 + percent}) div {100 + percent}"
         f" - ((greatest(n, hub_n) * {percent} + 99) div 100 - 1) - least(f, hub_f)"
     )
-    to_hub = lists.filter(near & (F.col("hub") != F.col("doc_id")))
+    to_hub = lists.filter(near & (F.col("hub") != F.col("doc_id")) & ((single == 1) | (need <= 0)))
     to_hub = to_hub.select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), single.alias("single"), need.alias("need"))
     links = _links(to_hub, known, shingle, percent)
     linked = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
