@@ -82,9 +82,11 @@ def chosen_paths(nodes: DataFrame) -> DataFrame:
             break
         open_before = still
         above = paths.select(F.col("node").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"), F.col("total").alias("add"))
-        paths = paths.join(above, "top", "left").select(
-            "node", F.col("next").alias("top"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("add", F.lit(0.0))).alias("total")
+        # finished paths stay out of the join
+        longer = paths.filter("top is not null").join(above, "top").select(
+            "node", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("add")).alias("total")
         )
+        paths = paths.filter("top is null").unionByName(longer)
     rooted = linked.join(paths.filter("top is null").select("node", "depth", "total"), "node")
     inner = linked.filter("parent is not null").select(F.col("parent").alias("node")).distinct()
     leaves = rooted.join(inner, "node", "left_anti")

@@ -115,22 +115,21 @@ def gradients(net: Network, doc: bytes, label: int, weight: float) -> list[np.nd
     return [d_embed, windows.T @ spread, spread.sum(axis=0), g * features, np.array([g])]
 
 
-def fit(docs: list[bytes], labels: list[int], weights: dict[int, float], epochs: int = 6, batch: int = 16, rate: float = 0.01, seed: int = 7) -> Network:
-    """Adam over shuffled minibatches."""
+def fit(docs: list[bytes], labels: list[int], weights: dict[int, float], steps: int = 750, batch: int = 16, rate: float = 0.01, seed: int = 7) -> Network:
+    """Adam over shuffled minibatches; as many steps for a small sample as for a large one."""
     net, order = Network.start(seed), np.random.default_rng(seed)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.params()]
-    step = 0
-    for epoch in range(epochs):
-        index = order.permutation(len(docs))
-        for s in range(0, len(index), batch):
-            part = index[s : s + batch]
-            grads = [np.mean(g, axis=0) for g in zip(*(gradients(net, docs[i], labels[i], weights[labels[i]]) for i in part))]
-            step += 1
-            pace = rate * 0.5 ** (epoch / 2)
-            for p, g, (m, v) in zip(net.params(), grads, moments):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= (pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    index: list[int] = []
+    for step in range(1, steps + 1):
+        while len(index) < batch:
+            index += order.permutation(len(docs)).tolist()
+        part, index = index[:batch], index[batch:]
+        grads = [np.mean(g, axis=0) for g in zip(*(gradients(net, docs[i], labels[i], weights[labels[i]]) for i in part))]
+        pace = rate * 0.5 ** (3 * step / steps)
+        for p, g, (m, v) in zip(net.params(), grads, moments):
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            p -= (pace * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return net
 
 
@@ -139,7 +138,7 @@ def held_out_row():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_bytes: int = 32768, epochs: int = 6) -> Network:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_bytes: int = 32768, steps: int = 750) -> Network:
     """Network fitted to at most ``per_class`` labelled documents of each quality, chosen by the hash of their id.
 
     Bounded sample: the driver learns from at most 2 * ``per_class`` texts of at most ``max_bytes`` bytes, read whole.
@@ -156,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_bytes:
     if not all(found.values()):
         return Network.start(7)
     weights = {q: shares[q] / total * len(rows) / found[q] for q in (0, 1)}
-    return fit([r["text"].encode("utf-8", "replace") for r in rows], [r["quality"] for r in rows], weights, epochs)
+    return fit([r["text"].encode("utf-8", "replace") for r in rows], [r["quality"] for r in rows], weights, steps)
 
 
 def _score(net: Network):
