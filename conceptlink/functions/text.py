@@ -63,7 +63,7 @@ def clean_tokens(text: Column, lowercase: bool = False, remove_stopwords: bool =
 
 
 def counted(words: Column) -> Column:
-    """Distinct words of a list with their number, as ``array<struct<token, n>>``; counted within the row."""
+    """Distinct words of a list with their number, as ``array<struct<token, n>>``; counted within the row. Nulls are no words."""
 
     def runs(ordered: Column) -> Column:
         starts = F.filter(
@@ -82,6 +82,7 @@ def counted(words: Column) -> Column:
         )
 
     none = F.array().cast("array<struct<token:string,n:int>>")
+    words = F.array_compact(words)
     return F.when(F.size(words) > 0, let(F.array_sort(words), runs)).otherwise(none)
 
 
@@ -128,6 +129,6 @@ def _ascii_letters(words: pd.Series) -> pd.Series:
 
 
 def strip_accents(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Decompose, keep ASCII letters, lowercase; each distinct value is folded once."""
+    """Decompose, keep ASCII letters, lowercase; each distinct value is folded once. A null stays null."""
     folded = df.select(column).distinct().withColumn(out, _ascii_letters(column))
-    return df.join(folded, column)
+    return df.join(folded, column, "left")

@@ -26,6 +26,8 @@ from conceptlink.operators.vectors import dimension, pca
 
 
 FITS_AT_ONCE = 5
+SLICE = 1 << 20  # differences held at once
+NOISE = -1
 ZERO = 1e-7  # Laplacian eigenvalues below this are zero
 
 
@@ -112,8 +114,10 @@ def nearest_center(points: DataFrame, centers: Sequence[Sequence[float]]) -> Dat
         for pdf in batches:
             if not pdf.empty:
                 x = np.stack(pdf["vec"].to_numpy())
-                d = ((x[:, None, :] - c) ** 2).sum(axis=2) if x.size * len(c) < 4_000_000 else (c * c).sum(axis=1) - 2.0 * x @ c.T
-                yield pdf.assign(cluster_id=d.argmin(axis=1).astype("int32"))
+                # one formula on slices, so that ties do not hang on the batch size
+                step = max(1, SLICE // c.size)
+                near = [((x[a : a + step, None, :] - c) ** 2).sum(axis=2).argmin(axis=1) for a in range(0, len(x), step)]
+                yield pdf.assign(cluster_id=np.concatenate(near).astype("int32"))
 
     schema = ", ".join([*(f"{n} {t}" for n, t in fields), "cluster_id int"])
     return points.select(*[n for n, _ in fields]).mapInPandas(place, schema)
@@ -154,12 +158,23 @@ def projected_kmeans(points: DataFrame, k: int = 10, components: int = 10, n_ini
 
 
 def spectral(edges: DataFrame, k: int, max_iter: int = 20) -> DataFrame:
-    """``(id, cluster_id)`` by power iteration over affinity edges ``(src, dst, affinity)``."""
+    """``(id, cluster_id)`` by power iteration over affinity edges ``(src, dst, affinity)``.
+
+    Every id of ``edges`` gets a row; one without a positive affinity is noise, -1.
+    """
     one_way = edges.filter("src < dst and affinity > 0").select(
         F.col("src").cast("long"), F.col("dst").cast("long"), F.col("affinity").cast("double")
     )
     pic = PowerIterationClustering(k=k, maxIter=max_iter, initMode="degree", srcCol="src", dstCol="dst", weightCol="affinity")
-    return pic.assignClusters(one_way).select("id", F.col("cluster").alias("cluster_id"))
+    placed = pic.assignClusters(one_way).select("id", F.col("cluster").alias("cluster_id"))
+    ids = edges.select(F.explode(F.array(F.col("src").cast("long"), F.col("dst").cast("long"))).alias("id")).distinct()
+    return with_noise(ids, placed)
+
+
+def with_noise(points: DataFrame, placed: DataFrame) -> DataFrame:
+    """``points`` with the ``cluster_id`` of ``placed`` (id, cluster_id); rows that have none are noise, -1."""
+    found = points.join(placed.select("id", "cluster_id"), "id", "left")
+    return found.withColumn("cluster_id", F.coalesce("cluster_id", F.lit(NOISE)))
 
 
 def spectral_clusters(
@@ -169,14 +184,14 @@ def spectral_clusters(
 
     ``affinity`` is 'nearest_neighbors' (linked or not), 'self_tuning', or a
     function from a distance column to an affinity. Precomputed edges go to
-    :func:`spectral` directly.
+    :func:`spectral` directly. Every point gets a row; one that no affinity links is noise, -1.
     """
     near = written(nearest(points, neighbors))
     if affinity == "self_tuning":
-        return spectral(local_affinity(near, neighbors), k)
+        return with_noise(points.select("id"), spectral(local_affinity(near, neighbors), k))
     pairs = near.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.min("distance").alias("d"))
     weight = F.lit(1.0) if affinity == "nearest_neighbors" else affinity(F.col("d"))
-    return spectral(pairs.select("src", "dst", weight.alias("affinity")), k)
+    return with_noise(points.select("id"), spectral(pairs.select("src", "dst", weight.alias("affinity")), k))
 
 
 def bisecting(points: DataFrame, k: int, min_size: float = 1.0, seed: int = 7) -> DataFrame:
@@ -311,13 +326,15 @@ def choose_k(
     around: int = 10,
     extra: Sequence[int] = (2, 5, 10, 20, 50, 100),
     seed: int = 7,
+    most: int | None = 200,
 ) -> tuple[int, DataFrame, DataFrame]:
     """Number of clusters by the gap statistic, with a silhouette scan around it for comparison.
 
-    The scan also tries the ``extra`` numbers. Returns the gap's choice and both tables.
+    Without ``high`` the candidates end at half the rows, but at ``most`` (None: no bound). The scan also tries the
+    ``extra`` numbers. Returns the gap's choice and both tables.
     """
     n = points.count()
-    high = high or int(min(n / 2, 200))
+    high = high or (n // 2 if most is None else min(n // 2, most))
     gaps = gap_statistic(points, range(low, high, step), references, "inertia", seed=seed)
     by_gap = best_by_gap(gaps)
     near = range(max(by_gap - around, 2), min(by_gap + around, n))

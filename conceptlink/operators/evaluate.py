@@ -138,15 +138,14 @@ def roc_points(curve: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def mean_roc(curve: DataFrame, fold: str = "fold", n_folds: int | None = None) -> DataFrame:
+def mean_roc(curve: DataFrame, fold: str = "fold", odd_only: bool = False) -> DataFrame:
     """Mean ROC over folds on an even grid: ``(place, fpr, mean_tpr, std_tpr, lower, upper, folds)``.
 
     Every flat stretch of a curve knows its own start, so it fills the grid
-    points it spans and no join against the grid is needed. With more than
-    five folds every other one is used.
+    points it spans and no join against the grid is needed. All folds count,
+    or with ``odd_only`` those of odd number.
     """
-    n_folds = n_folds or curve.select(F.max(fold)).first()[0] + 1
-    if n_folds > 5:
+    if odd_only:
         curve = curve.filter(F.col(fold) % 2 == 1)
     curve = curve.filter("all_pos > 0 and all_neg > 0")
     before_fp, before_tp = _before("fp", "neg"), _before("tp", "pos")

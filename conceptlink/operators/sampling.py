@@ -33,19 +33,29 @@ def class_sizes(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_quotas(df: DataFrame, label: str, n: int, uniform: bool = False) -> DataFrame:
+def class_quotas(df: DataFrame, label: str, n: int, uniform: bool = False, replace: bool = False) -> DataFrame:
     """Rows to draw per class, summing to ``n``.
 
     Proportional: floors first, the rest to the largest fractions. Uniform:
-    near-equal parts, larger ones first. Holds one row per class.
+    near-equal parts, larger ones first; unless drawing with replacement, a class
+    smaller than its part gives all its rows and the others share the rest.
+    Holds one row per class.
     """
     sizes = class_sizes(df, label).withColumnRenamed("n", "size")
     everything = Window.partitionBy()
     if uniform:
-        place = F.row_number().over(Window.orderBy(label))
+        # in order of size, a class gives all its rows as long as giving as many from all larger ones does not pass n
+        upto = Window.orderBy("size", label).rowsBetween(Window.unboundedPreceding, 0)
         k = F.count(F.lit(1)).over(everything)
-        quota = F.floor(F.lit(n) / k) + F.when(place <= F.lit(n) % k, 1).otherwise(0)
-        return sizes.withColumn("quota", quota.cast("long"))
+        larger = k - F.count(F.lit(1)).over(upto)
+        whole = F.lit(False) if replace else F.sum("size").over(upto) + F.col("size") * larger <= n
+        sizes = sizes.withColumn("_whole", whole)
+        shared = Window.partitionBy("_whole")
+        rest = F.lit(n) - F.coalesce(F.sum(F.when(F.col("_whole"), F.col("size"))).over(everything), F.lit(0))
+        sizes = sizes.withColumn("_rest", rest).withColumn("_k", F.count(F.lit(1)).over(shared))
+        place = F.row_number().over(shared.orderBy(label))
+        part = F.expr("_rest div _k") + F.when(place <= F.col("_rest") % F.col("_k"), 1).otherwise(0)
+        return sizes.select(label, "size", F.when(F.col("_whole"), F.col("size")).otherwise(part).cast("long").alias("quota"))
     total = F.sum("size").over(everything)
     sizes = sizes.withColumn("_scaled", F.col("size") * F.lit(n)).withColumn("_total", total)
     sizes = sizes.withColumn("_floor", F.expr("_scaled div _total")).withColumn("_rest", F.expr("_scaled % _total"))
@@ -67,11 +77,12 @@ def stratified_sample(
     """Sample ``n`` rows by class; without a label a plain sample.
 
     With replacement each class quota is a list of hashed draws over the class
-    positions, so drawing never gathers a class.
+    positions, so drawing never gathers a class. Without replacement a table of
+    fewer than ``n`` rows comes back whole.
     """
     if label is None:
         return subsample(df, n, id_cols, seed)
-    quotas = class_quotas(df, label, n, uniform)
+    quotas = class_quotas(df, label, n, uniform, replace)
     if not replace:
         placed = df.join(quotas.drop("size"), label)
         return hash_rank(placed, id_cols, seed, [label], upto=F.col("quota")).drop("quota", "rank")

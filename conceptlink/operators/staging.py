@@ -32,15 +32,6 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores when the input has fewer partitions than that.
-
-    For costly work per row on a few unsplittable files; input in many files is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def drop_staging(spark: SparkSession) -> None:
     """Delete the tables this application staged; call it when results are stored."""
     jvm = spark.sparkContext._jvm

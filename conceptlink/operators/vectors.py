@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptlink.functions import vec as vx
 from conceptlink.functions.text import counted
-from conceptlink.operators.sizes import fits_broadcast
 
 
 def dimension(vectors: DataFrame, vec: str = "vec") -> int:
@@ -34,23 +33,17 @@ def doc_vectors(
     ``exclude_oov=False``. Texts without a hit get the zero vector; texts
     without words are dropped when ``match_rows`` is off.
 
-    A vector table within the broadcast limit joins without moving the words,
-    and each task sums its texts before the one shuffle by text. For a larger
-    table the repeats within a text are counted in its row, the counts are joined
-    by shuffle on the word (hot words are split by the skew join), and the single
-    precision vectors, not partial sums, travel on to their text.
+    Repeats within a text are counted in its row, so a hot word costs one row a
+    text. The counts are joined on the word without a hint: the session's limit
+    decides whether the vector table is broadcast. Sums are combined before the
+    shuffle by text.
     """
     dim = dimension(vectors)
     explode = F.explode_outer if match_rows else F.explode
     known = vectors.select("token", "vec")
-    if fits_broadcast(vectors):
-        rows = lists.select(id_col, explode(words).alias("token"))
-        rows = rows.withColumn("_n", F.when(F.col("token").isNotNull(), 1).otherwise(0))
-        joined = rows.join(F.broadcast(known), "token", "left")
-    else:
-        rows = lists.select(id_col, explode(counted(F.col(words))).alias("_w"))
-        rows = rows.select(id_col, F.col("_w.token").alias("token"), F.coalesce("_w.n", F.lit(0)).alias("_n"))
-        joined = rows.join(known, "token", "left").repartition(id_col)
+    rows = lists.select(id_col, explode(counted(F.col(words))).alias("_w"))
+    rows = rows.select(id_col, F.col("_w.token").alias("token"), F.coalesce("_w.n", F.lit(0)).alias("_n"))
+    joined = rows.join(known, "token", "left")
     weight = F.col("_n")
     sums = [F.sum(F.col("vec")[i].cast("double") * weight).alias(f"_s{i}") for i in range(dim)]
     summed = joined.groupBy(id_col).agg(
@@ -119,8 +112,8 @@ def nonzero_rows(df: DataFrame, vec: str = "features") -> DataFrame:
 
 
 def train_word_vectors(lists: DataFrame, words: str = "words", **settings) -> DataFrame:
-    """Learn word vectors from word lists with Spark ML's Word2Vec."""
-    settings = {"vectorSize": 50, "minCount": 5, "windowSize": 2, "seed": 7, **settings}
+    """Learn word vectors from word lists with Spark ML's Word2Vec; all words unless ``minCount`` is raised."""
+    settings = {"vectorSize": 50, "minCount": 1, "windowSize": 2, "seed": 7, **settings}
     model = Word2Vec(inputCol=words, outputCol="_mean", **settings).fit(lists)
     return model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector", "float32").alias("vec"))
 

@@ -13,8 +13,6 @@ from conceptlink.operators.sampling import subsample
 from conceptlink.operators.staging import written
 from conceptlink.sources.results import save_clusters
 
-SAMPLE = 2000  # rows of the spectral stage, a stage on a sample by definition
-
 METHODS: dict[str, Callable[..., DataFrame]] = {
     "kmeans": lambda p, k: clustering.kmeans(p, k),
     "minibatch": lambda p, k: clustering.minibatch_kmeans(p, k),
@@ -41,7 +39,7 @@ def cluster_with(points: DataFrame, method: str, k: int, optimize_k: bool = Fals
     if optimize_k and method == "kmeans":
         k, _, _ = clustering.choose_k(points)
     labelled = METHODS[method](points.drop("cluster_id"), k)
-    return points.drop("cluster_id").join(labelled.select("id", "cluster_id"), "id")
+    return clustering.with_noise(points.drop("cluster_id"), labelled)
 
 
 def analyze(
@@ -56,7 +54,10 @@ def analyze(
     tags: DataFrame | None = None,
     optimize_k: bool = False,
 ) -> Analysis:
-    """Fit (or, with ``method=None``, reuse the ``cluster_id`` of) a clustering and report on it."""
+    """Fit (or, with ``method=None``, reuse the ``cluster_id`` of) a clustering and report on it.
+
+    Rows that the clustering leaves out are noise, -1; the metrics treat noise as one more cluster.
+    """
     placed = written(points if method is None else cluster_with(points, method, k, optimize_k))
     metrics = summaries.metric_rows(summaries.silhouette_score(placed, silhouette_sample))
     if labelled:
@@ -71,13 +72,21 @@ def analyze(
 
 
 def cluster_documents(
-    doc_vecs: DataFrame, k: int = 10, components: int = 10, method: str = "default", min_cluster_size: int = 20, seed: int = 7
+    doc_vecs: DataFrame,
+    k: int = 10,
+    components: int = 10,
+    method: str = "default",
+    min_cluster_size: int = 20,
+    seed: int = 7,
+    sample: int | None = None,
+    most_clusters: int | None = None,
 ) -> tuple[DataFrame, Analysis]:
-    """Cluster ids of document vectors, and the analysis of a spectral clustering of a sample of them.
+    """Cluster ids of document vectors, and the analysis of their spectral clustering.
 
     The default method is k-means on leading principal components; 'density'
     keeps the best level of density clusters. The number of spectral clusters
-    comes from the eigengap of the sample.
+    comes from the eigengap, at most ``most_clusters`` when given. ``sample`` limits the spectral stage to that many rows;
+    without it all rows take part.
     """
     points = doc_vecs.select(F.col("doc_id").alias("id"), "vec")
     if method.startswith("den"):
@@ -86,9 +95,9 @@ def cluster_documents(
     else:
         placed = clustering.projected_kmeans(points, k, components, seed=seed)
         ids = placed.select(F.col("id").alias("doc_id"), "cluster_id")
-    sample = written(subsample(points, SAMPLE, ["id"], seed))
-    affinity = written(local_affinity(nearest(sample, 10), 10))
+    chosen = written(points if sample is None else subsample(points, sample, ["id"], seed))
+    affinity = written(local_affinity(nearest(chosen, 10), 10))
     counts = clustering.suggested_counts(clustering.eigengap(affinity))
-    n = max(2, min(max(counts), 10))
-    found = sample.join(clustering.spectral(affinity, n), "id")
+    n = max(2, *counts) if most_clusters is None else max(2, min(max(counts), most_clusters))
+    found = clustering.with_noise(chosen, clustering.spectral(affinity, n))
     return written(ids), analyze(found, method=None)

@@ -8,13 +8,12 @@ from conceptlink import fixtures as fx
 from conceptlink.functions import text as tx
 from conceptlink.functions.vec import tidy as tidy_col
 from conceptlink.operators import corpus
-from conceptlink.operators.staging import spread
 from conceptlink.plans.registry import query
 from conceptlink.plans.twins import PUNCT, STOP, hash_key, tidy, with_views
 
 
 def docs(spark, sf_dir):
-    return spread(fx.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fx.table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def cap(word: str) -> str:

@@ -145,7 +145,7 @@ def mean_roc_curve(spark, sf_dir):
     folded = evaluate.stratified_folds(scored(spark, sf_dir), 5, ["doc_id"])
     curve = evaluate.score_curve(folded, group_cols=["fold"])
     columns = ["fpr", "mean_tpr", "std_tpr", "lower", "upper"]
-    return evaluate.mean_roc(curve, n_folds=5).select("place", *[tidy_col(F.col(c)).alias(c) for c in columns], "folds")
+    return evaluate.mean_roc(curve).select("place", *[tidy_col(F.col(c)).alias(c) for c in columns], "folds")
 
 
 @query(

@@ -64,14 +64,32 @@ def csv_round_trip(spark, sf_dir):
     return back.select("doc_id", F.md5("text").alias("text_hash"), n).filter("n_keywords > 0")
 
 
-@query("A5, A6", "SELECT vec_id AS id, label, list_sum(CAST(embedding AS DOUBLE[])) * 0 + len(embedding) AS width FROM embeddings")
+@query("A5, A6", "SELECT id, label, dim, v FROM (SELECT vec_id AS id, label, unnest(range(len(embedding))) AS dim, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)")
 def matrix_round_trip(spark, sf_dir):
     path = fresh_path(spark)
     points = fx.points(spark, sf_dir).select("id", "vec", "label")
     tables.save_matrix(points, path, "doc")
     tables.save_matrix(points.filter("label = 0"), path, "simple-doc")
     back = tables.load_document_vectors(spark, path)
-    return back.select("id", "label", F.size("vec").cast("double").alias("width"))
+    rows = back.select("id", "label", F.posexplode("vec").alias("dim", "v"))
+    return rows.withColumn("dim", F.col("dim").cast("long"))
+
+
+@query("A6", """SELECT CASE WHEN vec_id % 3 = 0 THEN 'test' ELSE 'train' END AS part, vec_id AS doc_id, 'c' || CAST(vec_id % 7 AS VARCHAR) AS concept,
+  label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x + x)[1] AS first, len(embedding) AS width FROM embeddings""")
+def pair_matrix_round_trip(spark, sf_dir):
+    """Training and test pairs stored next to a document split of another schema."""
+    path = fresh_path(spark)
+    points = fx.points(spark, sf_dir)
+    concept = F.concat(F.lit("c"), F.col("cluster_id").cast("string")).alias("concept")
+    features = F.transform("vec", lambda x: x + x).alias("features")
+    rows = points.select(F.col("id").alias("doc_id"), concept, features, "label")
+    tables.save_matrix(points.select(F.col("id").alias("doc_id"), "vec"), path, "doc")
+    tables.save_matrix(rows.filter("doc_id % 3 <> 0"), path, "train")
+    tables.save_matrix(rows.filter("doc_id % 3 = 0"), path, "test")
+    train, test = tables.load_pair_vectors(spark, path)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.select("part", "doc_id", "concept", "label", F.get("features", 0).alias("first"), F.size("features").cast("long").alias("width"))
 
 
 @query("A7", with_views("wvd", body=f"SELECT token, dim, {tidy('v')} AS v FROM wvd"))

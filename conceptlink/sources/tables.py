@@ -50,11 +50,15 @@ def read_documents(
     n: int | None = None,
     id_cols: Sequence[str] = ("doc_id",),
     seed: int = 7,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Read a table under an explicit schema, drop incomplete rows, optionally keep n random rows."""
+    """Read a table under an explicit schema, drop incomplete rows, optionally keep n random rows.
+
+    CSV fields may hold line breaks, so a CSV file is read by one task; ``multiline=False`` splits files.
+    """
     reader = spark.read.schema(schema)
     if file_format == "csv":
-        reader = reader.options(header=True, multiLine=True, quote='"', escape='"')
+        reader = reader.options(header=True, multiLine=multiline, quote='"', escape='"')
     df = reader.format(file_format).load(path)
     if dropna:
         df = drop_incomplete(df, how)
@@ -66,9 +70,10 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "errorifexis
 
 
 def read_dictionary(spark: SparkSession, path: str, key: str = "source", value: str = "target") -> DataFrame:
-    """Space-delimited two-column dictionary with a header, with each entry's file order."""
+    """Space-delimited two-column dictionary with a header, with each entry's file order: file, block, row."""
     lines = spark.read.schema(f"{key} string, {value} string").csv(path, sep=" ", header=True)
-    return lines.withColumn("entry", F.monotonically_increasing_id())
+    block = F.col("_metadata.file_block_start")
+    return lines.withColumn("entry", F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("row")))
 
 
 def list_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.dat", "*.csv")) -> DataFrame:
@@ -90,9 +95,8 @@ def save_matrix(df: DataFrame, path: str, split: str, run: int = 0) -> None:
 
 
 def load_matrix(spark: SparkSession, path: str, split: str, run: int = 0) -> DataFrame:
-    """Read one split of one run; the filter prunes the other folders."""
-    table = spark.read.parquet(path)
-    return table.filter((F.col("split") == split) & (F.col("run") == run)).drop("split", "run")
+    """Read one split of one run with that split's own columns; other folders are not touched."""
+    return spark.read.parquet(f"{path.rstrip('/')}/split={split}/run={run}")
 
 
 def load_document_vectors(spark: SparkSession, path: str, run: int = 0, test: bool = False) -> DataFrame:

@@ -55,6 +55,29 @@ def test_nearest_center_takes_the_lowest_on_a_tie(spark):
     assert [r["cluster_id"] for r in rows] == [0, 2]
 
 
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_ties_do_not_hang_on_the_batch_size(spark, monkeypatch, size):
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=16), rng.normal(size=16)
+    middle = (a + b) / 2
+    rows = [(i, middle.tolist()) for i in range(200)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(size))
+    monkeypatch.setattr(clustering, "SLICE", 16 * size)
+    try:
+        df = spark.createDataFrame(rows, "id long, vec array<double>")
+        got = clustering.nearest_center(df, [[0.0] * 15 + [1.0], [0.0] * 15 + [1.0], a.tolist()]).select("cluster_id").distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == 1 and got[0][0] != 1
+
+
+def test_unlinked_points_are_noise(spark):
+    edges = spark.createDataFrame([(0, 1, 1.0), (1, 2, 1.0), (2, 3, 0.01), (3, 4, 1.0), (4, 5, 1.0), (8, 9, 0.0)], "src long, dst long, affinity double")
+    got = {r["id"]: r["cluster_id"] for r in clustering.spectral(edges, 2).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, 5, 8, 9} and got[8] == got[9] == -1 and min(got[i] for i in range(6)) >= 0
+
+
 def test_graph_clusterings(blobs):
     assert ari(with_labels(blobs, density.single_link(blobs, 1.5, k=8))) > 0.95
     assert ari(with_labels(blobs, density.density_clusters(blobs, 1.0, 5, "euclidean"))) > 0.95

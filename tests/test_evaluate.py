@@ -64,8 +64,8 @@ def test_folds_are_stratified(spark):
     assert sorted(r["count"] for r in rows if r["label"] == 0) == [16, 16, 17, 17, 17]
 
 
-@pytest.mark.parametrize("n_folds", [3, 7])
-def test_mean_roc_matches_interpolation(spark, n_folds):
+@pytest.mark.parametrize("n_folds,odd_only", [(3, False), (10, False), (7, True)])
+def test_mean_roc_matches_interpolation(spark, n_folds, odd_only):
     rng = np.random.default_rng(2)
     rows, want = [], []
     for fold in range(n_folds):
@@ -75,13 +75,13 @@ def test_mean_roc_matches_interpolation(spark, n_folds):
         order = sorted(set(s), reverse=True)
         fpr = [0.0] + [(s[y == 0] >= t).mean() for t in order]
         tpr = [0.0] + [(s[y == 1] >= t).mean() for t in order]
-        if n_folds <= 5 or (fold + 1) % 2 == 0:
+        if not odd_only or fold % 2 == 1:
             line = np.interp(np.linspace(0, 1, 100), fpr, tpr)
             line[0] = 0.0
             want.append(line)
     df = spark.createDataFrame(rows, "fold int, label int, score double")
     curve = evaluate.score_curve(df, group_cols=["fold"])
-    got = evaluate.mean_roc(curve).orderBy("place").collect()
+    got = evaluate.mean_roc(curve, odd_only=odd_only).orderBy("place").collect()
     assert [r["place"] for r in got] == list(range(100))
     mean = np.mean(want, axis=0)
     mean[-1] = 1.0

@@ -52,6 +52,13 @@ def test_stratified_sample_sizes(spark):
     assert sampling.stratified_sample(df, 10, ["id"], label=None).count() == 10
 
 
+@pytest.mark.parametrize("n,want", [(100, {"x": 95, "y": 5}), (8, {"x": 4, "y": 4}), (11, {"x": 6, "y": 5}), (2000, {"x": 995, "y": 5})])
+def test_uniform_parts_pass_on_what_small_classes_lack(spark, n, want):
+    df = spark.range(1000).withColumn("label", F.when(F.col("id") < 995, "x").otherwise("y"))
+    drawn = sampling.stratified_sample(df, n, ["id"], uniform=True).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in drawn} == want
+
+
 def test_long_draw_lists_are_cut(spark, monkeypatch):
     monkeypatch.setattr(sampling, "DRAW_RUN", 7)
     df = classes(spark)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conceptlink.operators.clustering import MiniBatchKMeans
+from conceptlink.operators import staging
 from conceptlink.operators.staging import drop_staging, staging_root, written
 from conceptlink.sources import tables, vectors
 from conceptlink.streaming import documents as stream_docs
@@ -36,8 +37,26 @@ def test_matrix_splits_are_pruned(spark, tmp_path):
     train, test = tables.load_pair_vectors(spark, path)
     assert (train.count(), test.count()) == (2, 1)
     assert tables.load_document_vectors(spark, path).columns == ["id", "features"]
-    plan = tables.load_matrix(spark, path, "doc")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(split" in plan
+    files = tables.load_matrix(spark, path, "doc").inputFiles()
+    assert files and all("split=doc/run=0" in f for f in files)
+
+
+def test_splits_keep_their_own_columns(spark, tmp_path):
+    path = str(tmp_path / "m")
+    tables.save_matrix(spark.createDataFrame([(1, [1.0])], "doc_id long, vec array<double>"), path, "doc")
+    pairs = spark.createDataFrame([(1, "c", [2.0], 1)], "doc_id long, concept string, features array<double>, label int")
+    for split in ("train", "test"):
+        tables.save_matrix(pairs, path, split)
+    for part in tables.load_pair_vectors(spark, path):
+        assert part.columns == pairs.columns and [tuple(r) for r in part.collect()] == [(1, "c", [2.0], 1)]
+    assert tables.load_document_vectors(spark, path).columns == ["doc_id", "vec"]
+
+
+def test_dictionary_order_goes_by_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("en fr\ncat first\n")
+    (tmp_path / "b.csv").write_text("en fr\ncat later\n" + "x y\n" * 1000)
+    first = tables.read_dictionary(spark, str(tmp_path)).filter("source = 'cat'").agg(F.min_by("target", "entry"))
+    assert first.first()[0] == "first"
 
 
 def test_vectors_text_form(spark, tmp_path):
@@ -76,7 +95,14 @@ def test_staging_follows_the_session_folder(spark):
     copy = written(spark.range(5))
     assert copy.count() == 5
     assert "Scan parquet" in copy._jdf.queryExecution().executedPlan().toString() or "FileScan parquet" in copy._jdf.queryExecution().executedPlan().toString()
-    assert callable(drop_staging)
+
+
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda spark: str(tmp_path / "staged"))
+    written(spark.range(3))
+    assert (tmp_path / "staged").exists()
+    drop_staging(spark)
+    assert not (tmp_path / "staged").exists()
 
 
 def test_streamed_documents(spark, tmp_path, tiny):
