@@ -15,6 +15,8 @@ from conceptlink.operators.staging import written
 
 SKETCH_BITS = 20
 _SLICE = 1024
+PARITY_BITS = 512
+_PAIRS = 1 << 15
 _BLOCK = 1024  # documents of one list that are paired in one go
 
 
@@ -99,6 +101,15 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[
     return np.concatenate(out), max(0, first - rare)
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """For each of a fixed number of hash buckets, whether the set has an odd number of shingles in it.
+
+    Two sets differ in at least as many shingles as in bits, which bounds their overlap from above.
+    """
+    counts = np.bincount((mix(tokens) % U64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def _profile(k: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,12 +124,13 @@ def _profile(k: int, percent: int, frequent: np.ndarray):
                         pa.array(common, pa.int64()),
                         pa.array(np.array([mix(s).sum() for s in sets], U64).view(np.int64)),
                         pa.array(np.array([mix(s * U64(BASE) + U64(1)).sum() for s in sets], U64).view(np.int64)),
+                        pa.array([parities(s) for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sigs]))), pa.int32()),
                             pa.array(np.concatenate(sigs).view(np.int64)),
                         ),
                     ],
-                    ["doc_id", "n", "f", "h1", "h2", "sigs"],
+                    ["doc_id", "n", "f", "h1", "h2", "bits", "sigs"],
                 )
 
     return run
@@ -137,7 +149,7 @@ def _token_sets(k: int):
 
 
 def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the signatures that more than one document has, each with the list's first document.
+    """Rows of the signatures that more than one document has.
 
     Input is ordered by signature and document. Only the current list's head is kept, however long the list.
     """
@@ -157,8 +169,7 @@ def _shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             keep[0] = False
         out = np.flatnonzero(keep)
         if len(out):
-            hubs = {"hub": col[1][head[out]], "hub_n": col[2][head[out]], "hub_f": col[3][head[out]]}
-            yield pa.RecordBatch.from_pydict({k: c[out] for k, c in zip(names, col)} | hubs)
+            yield pa.RecordBatch.from_pydict({k: c[out] for k, c in zip(names, col)})
         last = head[-1]
         shown = (shown and last == 0 and held is not None) or last < len(sig) - 1
         held = [c[last] for c in col]
@@ -179,7 +190,8 @@ def _pairs(percent: int):
     """Pairs of documents of one block of a list that lie in different components and whose sizes allow a link."""
 
     def emit(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        sig, side, doc, n, f, comp = rows
+        sig, side, doc, n, f, comp = rows[:6]
+        bits = rows[6:].view(U64)
         for s in range(0, len(doc), 256):
             i = np.arange(s, min(s + 256, len(doc)))[:, None]
             j = np.arange(len(doc))[None, :]
@@ -192,14 +204,23 @@ def _pairs(percent: int):
             # a pair that needs a common single shingle is met in that one's list
             use = (sig[a] & 1 == 0) | (need <= 0)
             a, b, need = a[use], b[use], need[use]
+            roomy = np.zeros(len(a), bool)
+            for t in range(0, len(a), _PAIRS):
+                i, j = a[t : t + _PAIRS], b[t : t + _PAIRS]
+                differ = np.bitwise_count(bits[:, i] ^ bits[:, j]).sum(axis=0, dtype=np.int64)
+                overlap = (percent * (n[i] + n[j]) + 99 + percent) // (100 + percent)
+                roomy[t : t + _PAIRS] = n[i] + n[j] - differ >= 2 * overlap
+            a, b, need = a[roomy], b[roomy], need[roomy]
             if len(a):
                 yield pa.RecordBatch.from_pydict({"a": doc[a], "b": doc[b], "single": 1 - (sig[a] & 1), "need": need})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["i", "j", "sig", "side", "doc_id", "n", "f", "component"]
-        rest = np.empty((len(names), 0), np.int64)
+        words = PARITY_BITS // 64
+        rest = np.empty((len(names) + words, 0), np.int64)
         for batch in batches:
-            rest = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in names])], axis=1)
+            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.int64).reshape(-1, words)
+            rest = np.concatenate([rest, np.stack([*(batch.column(c).to_numpy() for c in names), *bits.T])], axis=1)
             cut = np.flatnonzero((rest[:3, 1:] != rest[:3, :-1]).any(axis=0)) + 1
             for a, b in zip(np.concatenate(([0], cut[:-1])).astype(int), cut):
                 yield from emit(rest[2:, a:b])
@@ -222,6 +243,37 @@ def _links(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Dat
     return written(pairs.join(x, "a").join(y, "b").filter(similar).select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct())
 
 
+def _open(placed: DataFrame) -> DataFrame:
+    """Signatures whose lists touch more than one component, with the lists' sizes."""
+    sizes = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
+    return sizes.filter("low <> high").select("sig", "size")
+
+
+def _hubs(placed: DataFrame) -> DataFrame:
+    """The most central document of each open list.
+
+    A document is the more central the more rows its open lists have: in a group of copies with edits, the text that the others
+    differ least from.
+    """
+    rows = placed.join(_open(placed), "sig")
+    weight = rows.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    best = F.max_by(F.struct("doc_id", "n", "f", "component"), F.struct("weight", -F.col("doc_id"))).alias("h")
+    hubs = rows.join(weight, "doc_id").groupBy("sig").agg(best)
+    return hubs.select("sig", F.col("h.doc_id").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.f").alias("hub_f"), F.col("h.component").alias("hub_component"))
+
+
+def _to_hubs(placed: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each list's hub with its documents of other components, if their sizes allow a link; one row per list."""
+    single = 1 - F.col("sig").bitwiseAND(1)
+    near = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    need = F.expr(
+        f"({percent} * (n + hub_n) + {99 + percent}) div {100 + percent}"
+        f" - ((greatest(n, hub_n) * {percent} + 99) div 100 - 1) - least(f, hub_f)"
+    )
+    pairs = placed.join(hubs, "sig").filter(near & (F.col("hub_component") != F.col("component")) & ((single == 1) | (need <= 0)))
+    return pairs.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b"), single.alias("single"), need.alias("need"))
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Groups of ``docs`` (doc_id, text, ...) linked by Jaccard similarity of their word shingles.
 
@@ -234,43 +286,35 @@ def similar_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Data
     doc_id are one document whose links are joined. An empty table gives none.
 
     Equal sets are folded first. The rest meet through ``signatures``. Each list of documents with
-    one signature is first compared with its head alone, which is linear and joins large groups of
+    one signature is first compared with its most central one alone, which is linear and joins large groups of
     near copies; what is still in different components is then compared pair by pair, in blocks for long
-    lists. Only pairs with as many common single shingles in their prefixes as ``needed`` are verified. Links inside one component cannot change the result and are not looked for, all others are.
+    lists. Only pairs whose parity bits leave room for the overlap, and with as many common single shingles in their prefixes as ``needed`` are verified. Links inside one component cannot change the result and are not looked for, all others are.
     """
     frequent = frequent_buckets(docs, shingle)
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kind = "doc_id long, n long, f long, h1 long, h2 long, sigs array<long>"
+    kind = "doc_id long, n long, f long, h1 long, h2 long, bits binary, sigs array<long>"
     profiles = written(known.mapInArrow(_profile(shingle, percent, frequent), kind))
     present = profiles.filter("doc_id is not null and n > 0")
     folded = written(present.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("first")))
     same = present.select("doc_id", "n", "h1", "h2").join(folded, ["n", "h1", "h2"]).select(F.col("doc_id").alias("src"), F.col("first").alias("dst"))
     heads = present.filter(F.size("sigs") > 0).join(folded.withColumnRenamed("first", "doc_id"), ["n", "h1", "h2", "doc_id"], "left_semi")
     rows = heads.select(F.explode("sigs").alias("sig"), "doc_id", "n", "f").repartition("sig").sortWithinPartitions("sig", "doc_id", "n", "f")
-    lists = written(rows.mapInArrow(_shared_lists, "sig long, doc_id long, n long, f long, hub long, hub_n long, hub_f long"))
+    lists = written(rows.mapInArrow(_shared_lists, "sig long, doc_id long, n long, f long"))
 
-    single = 1 - F.col("sig").bitwiseAND(1)
-    near = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-    need = F.expr(
-        f"({percent} * (n + hub_n) + {99 + percent}) div {100 + percent}"
-        f" - ((greatest(n, hub_n) * {percent} + 99) div 100 - 1) - least(f, hub_f)"
-    )
-    to_hub = lists.filter(near & (F.col("hub") != F.col("doc_id")) & ((single == 1) | (need <= 0)))
-    to_hub = to_hub.select(F.col("hub").alias("a"), F.col("doc_id").alias("b"), single.alias("single"), need.alias("need"))
-    links = _links(to_hub, known, shingle, percent)
+    unplaced = lists.withColumn("component", F.col("doc_id"))
+    links = _links(_to_hubs(unplaced, _hubs(unplaced), percent), known, shingle, percent)
     linked = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    groups = written(connected_components(linked, links))
-
-    placed = lists.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    open_lists = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-    open_lists = open_lists.filter("low <> high").select("sig", "size")
+    groups = written(connected_components(linked, links)).withColumnRenamed("id", "doc_id")
+    placed = written(lists.join(groups, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
+    open_lists = _open(placed)
     blocks = F.ceil(F.col("size") / _BLOCK).cast("long")
     dealt = (
         placed.join(open_lists, "sig")
+        .join(heads.select("doc_id", "n", "bits").distinct(), ["doc_id", "n"])
         .withColumn("blocks", blocks)
         .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "n", "f", "component")
+        .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "n", "f", "component", "bits")
         # in block (i, i) all rows meet, in block (i, j) only those of different halves
         .withColumn("side", F.when(F.col("i") == F.col("j"), F.lit(-1).cast("long")).otherwise(F.col("own")))
     )

@@ -89,6 +89,28 @@ def test_pair_signatures_find_sets_of_frequent_shingles():
             assert np.intersect1d(ngram_join.signatures(x, frequent, 85)[0], ngram_join.signatures(y, frequent, 85)[0]).size
 
 
+def test_parities_never_rule_out_a_true_overlap():
+    r = np.random.default_rng(6)
+    for n, m, both in ((1, 1, 1), (50, 60, 40), (3000, 2500, 2400), (200, 200, 0)):
+        x = r.integers(0, 2**63, n + m - both).astype(np.uint64)
+        a, b = (np.frombuffer(ngram_join.parities(s), np.uint64) for s in (x[:n], x[n - both :]))
+        assert int(np.bitwise_count(a ^ b).sum()) <= n + m - 2 * both
+
+
+def test_ngram_join_of_a_loose_group_equals_brute_force(spark):
+    # edits of one text that lie just above and just below the threshold of each other
+    base, r = words(20, 120), np.random.default_rng(20)
+    texts = [" ".join(w if x > 0.03 else f"e{i}x{j}" for j, (w, x) in enumerate(zip(base, r.random(120)))) for i in range(90)]
+    got = {x["doc_id"]: x["component_id"] for x in ngram_join.similar_groups(frame(spark, texts), 5, 80).collect()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(116)} for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 80 * len(a | b):
+                root = [min(root[i], root[j]) if k in (root[i], root[j]) else k for k in root]
+    assert 1 < len(set(root)) < len(texts) and [got[i] for i in range(len(texts))] == root
+
+
 def test_packing_places_every_token_once(spark):
     from tokenizers import Tokenizer
 
