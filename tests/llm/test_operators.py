@@ -111,6 +111,16 @@ def test_ngram_join_of_a_loose_group_equals_brute_force(spark):
     assert 1 < len(set(root)) < len(texts) and [got[i] for i in range(len(texts))] == root
 
 
+def test_ngram_join_with_repeated_ids_nulls_and_clashing_columns(spark):
+    one, other = ([f"{c}{i}" for i in range(60)] for c in "wz")
+    texts = [" ".join(t) for t in (one, other, [*one[:59], "x"], [*other[:59], "y"])]
+    rows = [(1, texts[0], "c", 1), (1, texts[1], "c", 2), (2, texts[2], None, 3), (3, texts[3], "c", 4), (None, texts[0], "c", 5), (4, None, "c", 6), (4, "", "c", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component string, bits int")
+    got = sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in ngram_join.similar_groups(docs, 5, 80).collect())
+    assert got == [("1", 56, 1), ("1", 56, 1), ("2", 56, 1), ("3", 56, 1), ("4", 0, 4), ("4", 0, 4), ("None", 56, None)]
+    assert ngram_join.similar_groups(docs.limit(0), 5, 80).count() == 0
+
+
 def test_packing_places_every_token_once(spark):
     from tokenizers import Tokenizer
 
