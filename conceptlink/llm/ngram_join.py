@@ -80,8 +80,8 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[
     """
     n = len(tokens)
     least = _least_overlap(n, percent)
-    if n - least == 0:
-        return np.empty(0, U64), 0  # only an equal set is similar enough, and those are folded before
+    if n == least and 100 * n < percent * (n + 1):
+        return np.empty(0, U64), 0  # no smaller and no larger set is similar enough, and equal ones are folded before
     common = frequent[_bucket(tokens)]
     order = np.concatenate([np.sort(mix(tokens[~common])), np.sort(mix(tokens[common]))])
     rare = int((~common).sum())

@@ -89,6 +89,35 @@ def test_pair_signatures_find_sets_of_frequent_shingles():
             assert np.intersect1d(ngram_join.signatures(x, frequent, 85)[0], ngram_join.signatures(y, frequent, 85)[0]).size
 
 
+@pytest.mark.parametrize("percent,least_gap", [(85, 6), (80, 4), (90, 9)])
+def test_signatures_meet_in_the_smallest_sets_that_link(percent, least_gap):
+    r = np.random.default_rng(7)
+    tried = set()
+    for n in range(1, 16):
+        for m in (m for m in range(n + 1, 20) if 100 * n >= percent * m):
+            for share in (0, 0.2, 0.5, 0.8, 1):
+                y = np.unique(r.integers(0, 2**63, m).astype(np.uint64))
+                x = r.permutation(y)[:n]
+                frequent = np.zeros(1 << ngram_join.SKETCH_BITS, bool)
+                frequent[ngram_join._bucket(y[r.random(m) < share])] = True
+                (a, f), (b, g) = (ngram_join.signatures(s, frequent, percent) for s in (x, y))
+                common = np.intersect1d(a, b)
+                assert common.size and int((common & np.uint64(1) == 0).sum()) >= ngram_join.needed(n, m, f, g, percent)
+            tried.add(n)
+    assert min(tried) == least_gap
+
+
+@pytest.mark.parametrize("shingle,percent,n", [(4, 85, 9), (5, 80, 8)])
+def test_ngram_join_links_a_short_text_with_one_word_added(spark, shingle, percent, n):
+    base = words(30, n)
+    texts = [" ".join(base), " ".join([*base, "end"]), " ".join(base[:-1]), " ".join(["start", *words(31, n)]), " ".join(words(31, n))]
+    # enough texts that the shingles of the next pair are frequent
+    often = [f"o{i}" for i in range(n)]
+    texts += [" ".join(often), " ".join([*often, "end"])] + [" ".join([*often, *words(40 + i, 60)]) for i in range(80)]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_groups(frame(spark, texts), shingle, percent).collect()}
+    assert [got[i] for i in range(7)] == [0, 0, 2, 3, 3, 5, 5]
+
+
 def test_parities_never_rule_out_a_true_overlap():
     r = np.random.default_rng(6)
     for n, m, both in ((1, 1, 1), (50, 60, 40), (3000, 2500, 2400), (200, 200, 0)):
