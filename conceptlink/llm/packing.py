@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from conceptlink.operators.staging import written
 
 END = 2
+LONG_BLANKS = 100_000
+_LONG = re.compile(rf"(?<!\s)\s{{{LONG_BLANKS}}}")
 # fixed value: the pre-token pattern of byte-level tokenizers of this family
 PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -24,8 +27,9 @@ PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 def encoder(path: str):
     """Byte-pair encoder of a tokenizers file.
 
-    The file's vocabulary is in merge order, so it also serves as the ranks of the quicker encoder used here; a
-    test holds its ids against those of the tokenizers library.
+    The file's vocabulary is in merge order, so it also serves as the ranks of the quicker encoder used here; tests
+    hold its ids against those of the tokenizers library, and check that each vocabulary entry encodes to itself,
+    without which the two could merge differently.
     """
     import tiktoken
 
@@ -39,14 +43,34 @@ def encoder(path: str):
     return tiktoken.Encoding("file", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=1)
+def _whole_encoder(path: str):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(path)
+    coder.encode_special_tokens = True
+    return coder
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """Ids of a text; the names of special tokens in it are plain text.
+
+    The quicker encoder's pattern gives up in white space of about a million characters, so texts with very long white
+    space go to the tokenizers library.
+    """
+    if len(text) >= LONG_BLANKS and _LONG.search(text):
+        return _whole_encoder(path).encode(text, add_special_tokens=False).ids
+    return encoder(path).encode_ordinary(text)
+
+
 def _tokenize(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, seen = encoder(path), TaskContext.get().partitionId(), [0] * (size + 1)
+        part, seen = TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             rows = []
             for doc_id, text in zip(doc_ids, batch.column("text").to_pylist()):
-                ids = np.array([*coder.encode_ordinary(text or ""), END], "<u4")
+                ids = np.array([*token_ids(path, text or ""), END], "<u4")
                 n = (len(ids) + size - 1) // size
                 start = 0
                 for k in range(n):

@@ -170,6 +170,31 @@ def test_packing_places_every_token_once(spark):
     assert packing.pack_documents(frame(spark, [], False), tokenizer_path()).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 1_200_000, "a" + "\n" * 1_200_000 + "b", " " * 100_000, "\t" * 99_999 + "x", "a" * 1_200_000, "#" * 1_200_000, "1" * 1_200_000, " a" * 600_000])
+def test_long_runs_get_the_ids_of_tokenizers(text):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    assert packing.token_ids(tokenizer_path(), text) == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_quick_encoder_merges_as_tokenizers():
+    from tokenizers import Tokenizer
+
+    # then both reach the same pieces in any text: a pair that makes an entry is always that entry's own merge
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        model = json.load(f)
+    vocab = model["model"]["vocab"]
+    made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["model"]["merges"]]
+    assert made == sorted(set(made)) and model["normalizer"] is None
+    tok = Tokenizer.from_file(tokenizer_path())
+    special = {t["content"] for t in model["added_tokens"]}
+    assert all([x.id for x in tok.model.tokenize(w)] == [i] for w, i in vocab.items() if w not in special)
+    for c in range(0, 0x3000, 16):
+        text = "".join(f"a{chr(x)}1 {chr(x)}{chr(x)}!{chr(x)} b" for x in range(c, c + 16))
+        assert packing.token_ids(tokenizer_path(), text) == tok.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("counts,bins", [({6: 2, 4: 2, 5: 2}, 3), ({10: 3}, 3), ({7: 1, 3: 1, 2: 1, 1: 1}, 2), ({5: 3}, 2)])
 def test_pack_sizes(counts, bins):
     found = packing.pack_sizes(counts, 10)
