@@ -146,7 +146,7 @@ def nonzero_pair_vectors(spark, sf_dir):
 @query("D7")
 def trained_word_vectors(spark, sf_dir):
     lists = fx.word_lists(spark, sf_dir)
-    learned = vectors.train_word_vectors(lists, vectorSize=16, minCount=20, maxIter=1, numPartitions=8)
+    learned = vectors.train_word_vectors(lists, numPartitions=8)
     return learned.select("token", F.size("vec").alias("dim"))
 
 
