@@ -52,7 +52,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", pack),
 ]
 
-# a trained classifier and a tokenizer have no SQL form; tests/llm compares the stages with brute force
+# a trained classifier and a tokenizer have no SQL form; tests/llm compares single operators with brute force, no test the stages
 ORACLE_SQL = None
 
 
