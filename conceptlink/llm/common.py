@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
@@ -58,6 +59,21 @@ def pieces(values: list, limit: int = 1 << 20) -> Iterator[tuple[int, list]]:
         yield at, values[at:]
 
 
+def slices(batch: pa.RecordBatch, name: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``limit`` bytes in column ``name``, not copied.
+
+    What is made of a slice can be freed before the next one, so a task holds the Python form of a slice and not of the
+    whole batch. A longer value stands alone.
+    """
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+    at = 0
+    while at < batch.num_rows:
+        done = int(size[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a string column; null reads as empty."""
     return [v or b"" for v in batch.column(name).cast(pa.binary()).to_pylist()]

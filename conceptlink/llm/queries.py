@@ -7,7 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from conceptlink.llm import chat, decontaminate, embedding_dedup, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, warc
+from conceptlink.llm import (
+    chat,
+    decontaminate,
+    embedding_dedup,
+    line_dedup,
+    ngram_join,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    suffix_dedup,
+    warc,
+    whitening,
+    window_dedup,
+)
 from conceptlink.llm.common import table
 from conceptlink.operators.staging import staging_root, written
 
@@ -108,3 +122,64 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
     return chat.transcript_report(written(chat.format_conversations(chat.as_tree(rows.unionByName(extra)))))
+
+
+TRIE_SQL = r"""
+with recursive rows_of as (
+  select conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as words
+  from conversations where conv_id is not null),
+placed as (
+  select conv_id, id, words, row_number() over (partition by conv_id order by turn nulls first, id) - 1 as pos from rows_of),
+digits as (
+  select conv_id, list_transform(string_split(conv_id::varchar, ''), x -> ascii(x)::bigint) as bytes
+  from (select distinct conv_id from rows_of)),
+-- CRC-32 byte by byte, eight shifts each
+convs as (
+  select conv_id, conv_id - conv_id % 20 as base, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, bytes), (c, b) ->
+    list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), (x, i) ->
+      case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end))) % 4 as head
+  from digits),
+rebuilt as (
+  select conv_id, id, words, row_number() over (partition by conv_id order by own, pos) as depth from (
+    select c.conv_id, 0 as own, p.pos, p.id, p.words from convs c join placed p on p.conv_id = c.base and p.pos < c.head
+    union all
+    select c.conv_id, 1, p.pos, p.id, p.words from convs c join placed p on p.conv_id = c.conv_id and p.pos >= c.head)),
+members as (
+  select conv_id, 0::bigint as depth, 'root' as node, null::varchar as parent, 0::bigint as words from convs
+  union all
+  select m.conv_id, r.depth, sha256(m.node || r.id), m.node, r.words
+  from members m join rebuilt r on r.conv_id = m.conv_id and r.depth = m.depth + 1),
+nodes as (
+  select node, any_value(parent) as parent, depth, any_value(words) as words, min(conv_id) as conv_id, count(*)::bigint as n_convs
+  from members group by node, depth),
+children as (select parent as node, count(*)::bigint as n_children from nodes where parent is not null group by parent),
+under as (
+  select a.node, n.n_convs, n.words, c.n_children is null as leaf
+  from nodes n join members a on a.conv_id = n.conv_id and a.depth <= n.depth left join children c on c.node = n.node),
+sums as (
+  select node, count(*) filter (leaf)::bigint as n_leaves, sum((n_convs - 1) * words)::bigint as saved_tokens from under group by node),
+lasts as (select conv_id, max(depth) as depth from members group by conv_id),
+ends as (
+  select m.node, sha256(string_agg(m.conv_id::varchar, ',' order by m.conv_id)) as ends_sha256
+  from members m join lasts l on l.conv_id = m.conv_id and l.depth = m.depth group by m.node)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, s.n_leaves, s.saved_tokens,
+       coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from nodes n left join nodes p on p.node = n.parent left join children c on c.node = n.node join sums s on s.node = n.node
+left join ends e on e.node = n.node
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=32)
+
+
+@query("op13_window_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.dedup_windows(table(spark, sf_dir, "documents"), span=13).drop("kept")
