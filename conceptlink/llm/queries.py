@@ -132,12 +132,12 @@ with recursive rows_of as (
 placed as (
   select conv_id, id, words, row_number() over (partition by conv_id order by turn nulls first, id) - 1 as pos from rows_of),
 digits as (
-  select conv_id, list_transform(string_split(conv_id::varchar, ''), x -> ascii(x)::bigint) as bytes
+  select conv_id, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint) as bytes
   from (select distinct conv_id from rows_of)),
 -- CRC-32 byte by byte, eight shifts each
 convs as (
-  select conv_id, conv_id - conv_id % 20 as base, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, bytes), (c, b) ->
-    list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), (x, i) ->
+  select conv_id, conv_id - conv_id % 20 as base, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, bytes), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, i:
       case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end))) % 4 as head
   from digits),
 rebuilt as (
