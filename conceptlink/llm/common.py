@@ -44,21 +44,6 @@ def powers(n: int, base: int = BASE) -> np.ndarray:
 _POW = powers(_POWERS)
 
 
-def pieces(values: list, limit: int = 1 << 20) -> Iterator[tuple[int, list]]:
-    """Cut a batch into runs of about ``limit`` bytes, with the index of their first value.
-
-    A value longer than the limit stands alone, so temporaries follow the longest document, not the batch.
-    """
-    at, size = 0, 0
-    for i, v in enumerate(values):
-        if size and size + len(v) > limit:
-            yield at, values[at:i]
-            at, size = i, 0
-        size += len(v)
-    if values:
-        yield at, values[at:]
-
-
 def slices(batch: pa.RecordBatch, name: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes in column ``name``, not copied.
 

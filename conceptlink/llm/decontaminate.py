@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from conceptlink.llm.common import U64, Words, combine, pieces, texts
+from conceptlink.llm.common import U64, combine, slices, texts, Words
 from conceptlink.operators.staging import written
 
 # Seed masks, 1 = the word counts, 0 = it may be anything. The first set leaves no window of 16 words with up
@@ -38,10 +38,9 @@ def _seeds(words: np.ndarray, mask: str) -> np.ndarray:
 def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word hashes of each item, long ones in parts that overlap by a window."""
     for batch in batches:
-        ids = batch.column("item_id").to_pylist()
-        for at, group in pieces(texts(batch)):
-            w = Words(group)
-            for i, item in enumerate(ids[at : at + len(group)]):
+        for part in slices(batch):
+            w = Words(texts(part))
+            for i, item in enumerate(part.column("item_id").to_pylist()):
                 own = w.hash[w.bounds[i] : w.bounds[i + 1]].view(np.int64)
                 rows = [own[a : a + _PART] for a in range(0, max(1, len(own) - WINDOW + 1), _PART - WINDOW + 1)] if len(own) >= LEAST else []
                 if rows:
@@ -102,10 +101,9 @@ def _scan(index, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = index.value
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for at, group in pieces(texts(batch)):
-                w = Words(group)
-                rows = [(ids[at + d], seeds.ids[n], same, first) for d, n, same, first in seeds.verified(w.hash, w.bounds, percent)]
+            for part in slices(batch):
+                ids, w = part.column("doc_id").to_pylist(), Words(texts(part))
+                rows = [(ids[d], seeds.ids[n], same, first) for d, n, same, first in seeds.verified(w.hash, w.bounds, percent)]
                 if rows:
                     cols = [pa.array(c, pa.int64()) for c in zip(*rows)]
                     yield pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "n_equal", "first_word"])

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from conceptlink.llm.common import BASE, U64, combine, mix, pieces, shingle_sets, texts
+from conceptlink.llm.common import BASE, U64, combine, mix, shingle_sets, slices, texts
 from conceptlink.operators.components import connected_components
 from conceptlink.operators.staging import written
 
@@ -30,8 +30,8 @@ def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for _, group in pieces(texts(batch)):
-                counts += np.bincount(_bucket(np.concatenate(shingle_sets(group, k))), minlength=len(counts))
+            for part in slices(batch):
+                counts += np.bincount(_bucket(np.concatenate(shingle_sets(texts(part), k))), minlength=len(counts))
         for i in np.flatnonzero(counts.reshape(-1, _SLICE).any(axis=1)):
             yield pa.RecordBatch.from_pydict({"slice": [int(i)], "counts": [counts[i * _SLICE : (i + 1) * _SLICE].tobytes()]})
 
@@ -113,13 +113,12 @@ def parities(tokens: np.ndarray) -> bytes:
 def _profile(k: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
-            for at, group in pieces(texts(batch)):
-                sets = shingle_sets(group, k)
+            for part in slices(batch):
+                sets = shingle_sets(texts(part), k)
                 sigs, common = zip(*(signatures(s, frequent, percent) for s in sets))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids[at : at + len(group)],
+                        part.column("doc_id"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(common, pa.int64()),
                         pa.array(np.array([mix(s).sum() for s in sets], U64).view(np.int64)),
@@ -139,11 +138,11 @@ def _profile(k: int, percent: int, frequent: np.ndarray):
 def _token_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, group in pieces(texts(batch)):
-                sets = [pa.array(s.view(np.int64)) for s in shingle_sets(group, k)]
+            for part in slices(batch):
+                sets = [pa.array(s.view(np.int64)) for s in shingle_sets(texts(part), k)]
                 ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(sets))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at : at + len(group)], lists], ["doc_id", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "tokens"])
 
     return run
 

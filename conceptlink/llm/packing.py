@@ -14,11 +14,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from conceptlink.llm.common import slices
 from conceptlink.operators.staging import written
 
 END = 2
-LONG_BLANKS = 100_000
-_LONG = re.compile(rf"(?<!\s)\s{{{LONG_BLANKS}}}")
+LONG_BLANKS = 1000
+# the characters of the Unicode property White_Space, which the pre-token pattern means by \s; Python means a few more
+_BLANK = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG = re.compile(f"{_BLANK}{{{LONG_BLANKS},}}")
 # fixed value: the pre-token pattern of byte-level tokenizers of this family
 PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -44,29 +47,54 @@ def encoder(path: str):
 
 
 @lru_cache(maxsize=1)
-def _whole_encoder(path: str):
-    from tokenizers import Tokenizer
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, int]]:
+    """Pattern of the tokens that the file adds to the vocabulary, with the blanks they take in, and their ids.
 
-    coder = Tokenizer.from_file(path)
-    coder.encode_special_tokens = True
-    return coder
+    Such a token is found in the text before anything else, the leftmost and then the longest one.
+    """
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    parts = []
+    for t in sorted(added, key=lambda t: -len(t["content"])):
+        word = f"({re.escape(t['content'])})"
+        word = rf"(?<!\w){word}(?!\w)" if t["single_word"] else word
+        parts.append(f"{_BLANK}*" * t["lstrip"] + word + f"{_BLANK}*" * t["rstrip"])
+    return re.compile("|".join(parts)) if parts else None, {t["content"]: t["id"] for t in added}
 
 
-def token_ids(path: str, text: str) -> list[int]:
-    """Ids of a text; the names of special tokens in it are plain text.
+def _plain_ids(path: str, text: str) -> Iterator[list[int]]:
+    """Ids of a text without added tokens.
 
-    The quicker encoder's pattern gives up in white space of about a million characters, so texts with very long white
-    space go to the tokenizers library.
+    A long run of blanks is one pre-token, but for its last blank if a word follows, so it can be cut out; the pattern itself gives up
+    in runs of about a million.
     """
-    if len(text) >= LONG_BLANKS and _LONG.search(text):
-        return _whole_encoder(path).encode(text, add_special_tokens=False).ids
-    return encoder(path).encode_ordinary(text)
+    coder, at = encoder(path), 0
+    for run in _LONG.finditer(text) if len(text) >= LONG_BLANKS else ():
+        end = run.end() - (run.end() < len(text))
+        yield coder.encode_ordinary(text[at : run.start()])
+        yield coder._encode_single_piece(text[run.start() : end].encode())
+        at = end
+    yield coder.encode_ordinary(text[at:] if at else text)
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """Ids of a text as tokenizers gives them without special tokens around it: names of added tokens inside it are those tokens."""
+    pattern, ids = _added(path)
+    out, at = [], 0
+    for m in pattern.finditer(text) if pattern else ():
+        for part in _plain_ids(path, text[at : m.start()]):
+            out += part
+        out.append(ids[m[m.lastindex]])
+        at = m.end()
+    for part in _plain_ids(path, text[at:]):
+        out += part
+    return out
 
 
 def _tokenize(path: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), [0] * (size + 1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             doc_ids = batch.column("doc_id").to_pylist()
             rows = []
             for doc_id, text in zip(doc_ids, batch.column("text").to_pylist()):

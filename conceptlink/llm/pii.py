@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from conceptlink.llm.common import slices, texts
 from conceptlink.operators.staging import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -108,7 +109,7 @@ _FOUND = "doc_id long, base array<struct<kind:int,low:int,high:int>>, seen array
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = [("kind", pa.int32()), ("low", pa.int32()), ("high", pa.int32())]
     seen_type = pa.struct([*span, ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         bases, seens = [], []
         for text in batch.column("text").to_pylist():
             text = text or ""

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from conceptlink.llm.common import texts
+from conceptlink.llm.common import slices, texts
 
 WIDTH, STRIDE, DIM, FILTERS = 8, 2, 4, 16
 HALF = 32  # filter positions in half a chunk; chunks overlap by one half
@@ -161,9 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_bytes:
 def _score(net: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array([net.score(t) for t in texts(batch)], pa.float64())
             kept = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), scores], [*kept, "score"])
+            for part in slices(batch):
+                scores = pa.array([net.score(t) for t in texts(part)], pa.float64())
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), scores], [*kept, "score"])
 
     return run
 
@@ -171,7 +172,8 @@ def _score(net: Network):
 def _keep(net: Network, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([net.score(t) >= threshold for t in texts(batch)], pa.bool_()))
+            for part in slices(batch):
+                yield part.filter(pa.array([net.score(t) >= threshold for t in texts(part)], pa.bool_()))
 
     return run
 

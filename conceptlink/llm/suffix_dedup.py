@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from conceptlink.llm.common import BASE, BYTE, U64, mix, powers, texts
+from conceptlink.llm.common import BASE, BYTE, U64, mix, powers, slices, texts
 from conceptlink.operators.ranking import global_index
 from conceptlink.operators.staging import written
 
@@ -110,18 +110,17 @@ def _segments(doc: np.ndarray, span: int, gram: int) -> Iterator[tuple[np.ndarra
 
 def _find_segments(span: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, docs = batch.column("key").to_numpy(), texts(batch)
-            rows, size = [], 0
-            for i, (k, d) in enumerate(zip(keys, docs)):
+        rows, size = [], 0
+        for batch in (part for whole in batches for part in slices(whole)):
+            for k, d in zip(batch.column("key").to_numpy(), texts(batch)):
                 for g, c, low, high, at in _segments(np.frombuffer(d, np.uint8), span, gram):
                     rows.append((g.view(np.int64), c.view(np.int64), np.full(len(low), k), low, high, at))
                     size += len(low)
-                if rows and (size > 1 << 16 or i == len(docs) - 1):
+                if size > 1 << 16:
                     yield _folded(*map(np.concatenate, zip(*rows)))
                     rows, size = [], 0
-            if rows:
-                yield _folded(*map(np.concatenate, zip(*rows)))
+        if rows:
+            yield _folded(*map(np.concatenate, zip(*rows)))
 
     return run
 
@@ -184,7 +183,7 @@ def _cut_segments(span: int):
     """Bytes of the contested segments of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, doc, parts in zip(batch.column("key").to_pylist(), texts(batch), batch.column("parts").to_pylist()):
                 rows += [(p["g"], key, p["low"], p["high"], p["at"], doc[p["low"] : p["low"] + p["high"] + span]) for p in parts]
@@ -237,7 +236,7 @@ def _sort_segments(span: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, used, split = [], 0, {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "bytes")):
             for row in zip(*(batch.column(c).to_pylist() for c in ("g", "doc", "low", "high", "at", "bytes", "part"))):
                 new = not rows or row[0] != rows[-1][0] or row[6] != rows[-1][6]
                 if new and used > 1 << 19:
@@ -271,7 +270,7 @@ class _Ranked(PrefixHashes):
 
 def _remove(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             docs, out = texts(batch), []
             for doc, found in zip(docs, batch.column("ranges").to_pylist()):
                 kept, end, n = [], 0, 0

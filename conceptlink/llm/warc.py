@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from conceptlink.llm.chains import reached
+from conceptlink.llm.common import slices, texts
 from conceptlink.operators.staging import written
 
 MAGIC = b"WARC/1.1\r\n"
@@ -23,8 +24,8 @@ def _digest(payload: bytes) -> str:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        digests = [_digest(p or b"") for p in batch.column("html").cast(pa.binary()).to_pylist()]
+    for batch in (part for whole in batches for part in slices(whole, "html")):
+        digests = [_digest(p) for p in texts(batch, "html")]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], [*batch.schema.names, "digest"])
 
 

@@ -154,7 +154,6 @@ def test_packing_places_every_token_once(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     texts = [" ".join(words(i, 60 * i)) + " été　<|endoftext|> it's" for i in range(12)]
     rows = packing.pack_documents(frame(spark, texts), tokenizer_path(), 256).collect()
     for i, t in enumerate(texts):
@@ -170,7 +169,7 @@ def test_packing_places_every_token_once(spark):
     assert packing.pack_documents(frame(spark, [], False), tokenizer_path()).count() == 0
 
 
-@pytest.mark.parametrize("text", [" " * 1_200_000, "a" + "\n" * 1_200_000 + "b", " " * 100_000, "\t" * 99_999 + "x", "a" * 1_200_000, "#" * 1_200_000, "1" * 1_200_000, " a" * 600_000])
+@pytest.mark.parametrize("text", [" " * 1_200_000, "a" + "\n" * 1_200_000 + "b", " " * 100_000, "\t" * 99_999 + "x", "a" * 1_200_000, "#" * 1_200_000, "1" * 1_200_000, " a" * 600_000, "x " + "\u2003\n " * 700 + "é", "b" + " " * 1000, " " * 1001 + "'s", "\r\n" * 2500 + "7", "\x1c" * 1500 + "a", " \x1c" * 900, " " * 1200 + "\x1c"])
 def test_long_runs_get_the_ids_of_tokenizers(text):
     from tokenizers import Tokenizer
 
@@ -178,6 +177,15 @@ def test_long_runs_get_the_ids_of_tokenizers(text):
     assert packing.token_ids(tokenizer_path(), text) == tok.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("form", ["{}", "{} a", "a {}", "a{}b {} c", "{}{}", " {}  {}\n", "x" + " " * 1500 + "{}" + " " * 1500, "<|end{}oftext|>", "{}'s"])
+def test_names_of_added_tokens_get_the_ids_of_tokenizers(form):
+    from tokenizers import Tokenizer
+
+    tok, text = Tokenizer.from_file(tokenizer_path()), form.replace("{}", "<|endoftext|>")
+    ids = packing.token_ids(tokenizer_path(), text)
+    assert ids == tok.encode(text, add_special_tokens=False).ids and 50256 in ids
+
+
 def test_quick_encoder_merges_as_tokenizers():
     from tokenizers import Tokenizer
 
