@@ -103,11 +103,14 @@ def single_link(points: DataFrame, max_distance: float, k: int = 30, metric: str
     return connected_components(points, edges).withColumnRenamed("component", "cluster_id")
 
 
-def reachability_edges(points: DataFrame, min_points: int, metric: str = "euclidean") -> DataFrame:
-    """Neighbour-graph edges weighted by mutual reachability, the larger of distance and both core distances."""
-    neighbors = written(nearest(points, min_points, metric))
-    core = kth_distance(neighbors, min_points)
-    joined = neighbors.join(core.toDF("src", "ca"), "src").join(core.toDF("dst", "cb"), "dst")
+def reachability_edges(points: DataFrame, min_points: int, metric: str = "euclidean", neighbors: int | None = None) -> DataFrame:
+    """Neighbour-graph edges weighted by mutual reachability, the larger of distance and both core distances.
+
+    The graph links a row to its ``neighbors`` nearest ones, ``min_points`` if not given; the core distance is that to the ``min_points``-th.
+    """
+    near = written(nearest(points, max(min_points, neighbors or 0), metric))
+    core = kth_distance(near, min_points)
+    joined = near.join(core.toDF("src", "ca"), "src").join(core.toDF("dst", "cb"), "dst")
     return joined.select("src", "dst", F.greatest("distance", "ca", "cb").alias("reach"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conceptlink import fixtures as fx
 from conceptlink.functions.vec import tidy as tidy_col
-from conceptlink.operators import clustering, density, neighbors, summaries
+from conceptlink.operators import clustering, density, hierarchy, linkage, neighbors, summaries
 from conceptlink.plans import cluster_analysis
 from conceptlink.plans.registry import query
 from conceptlink.plans.source_queries import fresh_path
@@ -177,6 +177,49 @@ def single_link_clusters(spark, sf_dir):
     return density.single_link(points(spark, sf_dir), CUT, k=30).select("id", "cluster_id")
 
 
+LINKED, CUTS = 30, 7
+# one merge a step: the whole edge table is the state of the recursion
+LINKAGE = {
+    "d": "SELECT a.id AS src, b.id AS dst, list_distance(a.vec, b.vec) AS distance FROM pts a JOIN pts b ON a.id <> b.id",
+    "e": f"""SELECT src, dst, distance FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY distance, dst) AS place FROM d)
+             WHERE place <= {LINKED}""",
+    "one": "SELECT least(src, dst) AS a, greatest(src, dst) AS b, min(distance) AS total FROM e GROUP BY ALL",
+    "mer": """SELECT step, a, b, total / n AS height FROM (
+        WITH RECURSIVE st(step, a, b, total, n) AS (
+          SELECT 0::BIGINT, a, b, total, 1::BIGINT FROM one
+          UNION ALL
+          SELECT step + 1, least(x, y), greatest(x, y), sum(total), sum(n)::BIGINT FROM (
+            SELECT step, total, n, CASE WHEN a = mb THEN ma ELSE a END AS x, CASE WHEN b = mb THEN ma ELSE b END AS y FROM (
+              SELECT *, first_value(a) OVER w AS ma, first_value(b) OVER w AS mb FROM st WINDOW w AS (ORDER BY total / n, a, b)))
+          WHERE x <> y GROUP BY ALL)
+        SELECT *, row_number() OVER (PARTITION BY step ORDER BY total / n, a, b) AS place FROM st) WHERE place = 1""",
+}
+
+
+@query("F5", with_views("pts", extra=LINKAGE, body=f"SELECT a, b, {tidy('height')} AS height FROM mer"))
+def average_linkage_merges(spark, sf_dir):
+    merges = linkage.average_linkage(neighbors.nearest(points(spark, sf_dir), LINKED))
+    return merges.select("a", "b", tidy_col(F.col("height")).alias("height"))
+
+
+@query(
+    "F5",
+    with_views(
+        "pts",
+        extra={
+            **LINKAGE,
+            "low": f"SELECT a, b FROM mer WHERE step < (SELECT count(*) - {CUTS} FROM pts)",
+            "u": "SELECT a AS src, b AS dst FROM low UNION SELECT b, a FROM low",
+        },
+        body="""SELECT id, min(reach) AS cluster_id FROM (
+          WITH RECURSIVE r(id, reach) AS (SELECT id, id FROM pts UNION SELECT u.dst, r.reach FROM r JOIN u ON u.src = r.id)
+          SELECT * FROM r) GROUP BY id""",
+    ),
+)
+def average_linkage_clusters(spark, sf_dir):
+    return linkage.average_linkage_clusters(points(spark, sf_dir), CUTS, LINKED).select("id", "cluster_id")
+
+
 EPS, MIN_POINTS = 0.65, 4
 
 
@@ -210,6 +253,12 @@ def multi_level_density_clusters(spark, sf_dir):
     return levels.groupBy("level", "cut", "cluster_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("F8")
+def density_hierarchy_clusters(spark, sf_dir):
+    found = hierarchy.density_hierarchy(points(spark, sf_dir), min_cluster_size=5, neighbors=15)
+    return found.members.select("id", F.concat_ws("-", "cluster.a", "cluster.b").alias("cluster"), tidy_col(F.col("fell")).alias("fell"), "cluster_id")
+
+
 @query("F9")
 def projected_kmeans_clusters(spark, sf_dir):
     rows = doc_vecs(spark, sf_dir).select(F.col("doc_id").alias("id"), "vec")

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_point
 TINY = "/root/testdata/sf0.001"
 # trained jobs take minutes together and have tests of their own
 SLOW = {
-    "chosen_cluster_count", "cluster_analysis_report", "cross_validation_report", "document_cluster_sizes",
+    "chosen_cluster_count", "cluster_analysis_report", "cross_validation_report", "density_hierarchy_clusters", "document_cluster_sizes",
     "forest_report", "gap_statistics", "laplacian_eigengaps", "logistic_report", "multi_level_density_clusters",
     "network_training_curve", "projected_kmeans_clusters", "silhouette_scan", "spectral_clusters", "spectral_clusters_by_affinity",
 }
