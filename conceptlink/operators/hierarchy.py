@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from conceptlink.operators.components import connected_components
 from conceptlink.operators.density import NOISE, reachability_edges
 from conceptlink.operators.staging import written
 
@@ -25,90 +26,123 @@ class DensityHierarchy:
         return self.members.select("id", "cluster_id")
 
 
-def _merge_rounds(points: DataFrame, edges: DataFrame, m: int) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
-    """Facts, memberships and top clusters of the condensed single-linkage tree of ``edges`` (a, b, w).
+def _merge_rounds(points: DataFrame, edges: DataFrame, m: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Splits (cluster, parent, e), falls (id, cluster, e) and top clusters of the single-linkage tree of ``edges`` (a, b, w).
 
-    Each round every cluster takes its shortest edge to another (ties by the ids). Two clusters that take the same edge merge,
-    and so do those whose edge leads to one of the two, one after another in the order of their edges, up to the first edge that
-    is longer than one leading out of what has merged so far: single linkage would take that one first. Sizes before each merge
-    are running sums.
+    Each round every group of points takes its shortest edge to another one (e: weight and ends, so no two are equal).
+
+    * Where the edges of small groups lead to a large one, over ever shorter edges, they join it, each at its own edge: whatever they
+      touch on the way is in the large group before. Their points fall out there.
+    * Where they lead to a pair of small groups that took the same edge, the groups merge one after another in the order of their edges, with
+      running sums of their sizes, up to the first edge that is longer than one leading elsewhere. The first merge with at least ``m``
+      points begins a cluster; what comes after it falls out of that.
+    * Two large groups that took the same edge are the parts into which a cluster splits.
+
+    All this contracts edges of the spanning forest, so the order between groups does not matter but for the cluster
+    that a point falls out of; ``_climb`` finds that at the end.
     """
-    name = F.struct("a", "b")
-    kind = edges.select(name.alias("c")).schema["c"].dataType
-    none = F.lit(None).cast(kind)
-    nodes = points.select(F.col("id").alias("u"), F.lit(1).cast("long").alias("size"), none.alias("cond"))
-    open_points = points.select("id", F.col("id").alias("u"))
+    name = F.struct("e.a", "e.b")
+    kind = edges.select(F.struct("a", "b").alias("c")).schema["c"].dataType
+    # a small group knows its points, fewer than m; a large one its cluster
+    nodes = points.select(F.col("id").alias("u"), F.array("id").alias("ids"), F.lit(None).cast(kind).alias("cluster"))
     current = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v"), F.struct("w", "a", "b").alias("e")))
-    facts, members = [], []
-    order = Window.partitionBy("pair").orderBy("w", "a", "b", "u")
+    splits, falls = [], []
+    order = Window.partitionBy("component").orderBy("e", "u")
     before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
-    onward = order.rowsBetween(0, Window.unboundedFollowing)
+    whole = Window.partitionBy("component")
     while current.limit(1).count():
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v"), "e"))
-        picks = written(both.groupBy("u").agg(F.min(F.struct("e", "v")).alias("p")).select("u", "p.e", "p.v"))
-        pairs = picks.groupBy("e").agg(F.min("u").alias("x"), F.max("u").alias("y"), F.count(F.lit(1)).alias("n")).filter("n = 2")
-        roots = pairs.select(F.explode(F.array("x", "y")).alias("v"), F.col("x").alias("pair"))
-        near = written(picks.join(roots, "v").select("u", "pair", "e"))
-        to = near.select("u", "pair")
-        leading = both.join(to, "u").join(to.toDF("v", "other"), "v", "left").filter("other is null or other <> pair")
-        out = leading.groupBy("u").agg(F.min("e").alias("out"))
-        rows = near.select("u", "pair", "e", "e.w", "e.a", "e.b").join(nodes, "u").join(out, "u", "left")
-        rows = rows.withColumn("left", F.sum("size").over(before)).withColumn("out", F.min("out").over(before))
-        rows = rows.filter("left is null or out is null or e < out").drop("e", "out")
-        big_left, big = F.coalesce(F.col("left") >= m, F.lit(False)), F.col("size") >= m
-        grown = F.coalesce("left", F.lit(0)) + F.col("size") >= m
-        made = F.col("left").isNotNull() & (big_left == big) & grown  # two large sides part here, or two small ones begin a cluster
-        event = F.when(F.col("left").isNull() | (~big_left & big), F.col("cond")).when(made, name)
-        rows = rows.withColumn("made", made).withColumn("event", event).withColumn("now", F.last("event", ignorenulls=True).over(so_far))
-        rows = rows.withColumn("was", F.lag("now").over(order)).withColumn("into", F.min("u").over(Window.partitionBy("pair")))
-        rows = written(rows.withColumn("home", F.first(F.when(F.col("now").isNotNull(), F.struct("now", "w")), ignorenulls=True).over(onward)))
-
-        merges = rows.filter("left is not null")
-        lost = F.when(F.col("made"), F.col("left") + F.col("size")).when(big_left, F.col("size")).when(big, F.col("left"))
-        facts.append(merges.filter(lost.isNotNull()).select(F.col("now").alias("cluster"), none.alias("parent"), lost.alias("size"), F.col("w").alias("height")))
-        parts = merges.filter(F.col("made") & big).select(F.explode(F.array("was", "cond")).alias("cluster"), F.col("now").alias("parent"), F.lit(0).cast("long").alias("size"), F.col("w").alias("height"))
-        facts.append(parts)
-
-        placed = open_points.join(rows.filter(~big).select("u", "into", "home"), "u", "left")
-        placed = written(placed.select("id", F.coalesce("into", "u").alias("u"), "home"))
-        members.append(placed.filter("home is not null").select("id", F.col("home.now").alias("cluster"), F.col("home.w").alias("height")))
-        open_points = placed.filter("home is null").select("id", "u")
-
-        joined = rows.groupBy(F.col("into").alias("u")).agg(F.sum("size").alias("size"), F.max_by("now", F.struct("w", "a", "b", "u")).alias("cond"))
-        nodes = written(joined.unionByName(nodes.join(rows.select("u"), "u", "left_anti")))
-        moved = current.join(rows.select("u", F.col("into").alias("x")), "u", "left").join(rows.select(F.col("u").alias("v"), F.col("into").alias("y")), "v", "left")
+        picks = both.groupBy("u").agg(F.min(F.struct("e", "v")).alias("p")).select("u", "p.e", "p.v")
+        picks = written(picks.join(nodes, "u"))
+        small = picks.filter("cluster is null")
+        groups = connected_components(picks.select(F.col("u").alias("id")), small.select(F.col("u").alias("src"), F.col("v").alias("dst")))
+        groups = written(groups.toDF("u", "component"))
+
+        # two large groups
+        pairs = picks.filter("cluster is not null").groupBy("e").agg(F.min("u").alias("x"), F.collect_list(F.struct("u", "cluster")).alias("sides")).filter(F.size("sides") == 2)
+        pairs = written(pairs.select("e", "x", "sides", name.alias("parent")))
+        splits.append(pairs.select(F.explode("sides.cluster").alias("cluster"), "parent", "e"))
+        joined = pairs.select(F.explode("sides.u").alias("u"), F.col("x").alias("into"), F.col("parent").alias("cluster"))
+        large = picks.filter("cluster is not null").select("u", "cluster").join(joined.select("u", "into"), "u", "left").withColumn("into", F.coalesce("into", "u"))
+        held = large.join(groups, "u").select("component", F.col("cluster").alias("at"), F.col("into").alias("host"))
+
+        # small groups
+        where = groups.withColumnRenamed("component", "other")
+        away = both.join(groups, "u").join(where.withColumnRenamed("u", "v"), "v").filter("component <> other")
+        out = away.groupBy("u").agg(F.min("e").alias("out"))
+        rows = small.drop("v", "cluster").join(groups, "u").join(held, "component", "left").join(out, "u", "left")
+        rows = rows.withColumn("left", F.coalesce(F.sum(F.size("ids")).over(before), F.lit(0))).withColumn("out", F.min("out").over(before))
+        late = F.col("at").isNull() & (F.col("left") < m) & (F.col("e") > F.col("out"))
+        rows = rows.withColumn("late", F.sum(F.when(late, 1).otherwise(0)).over(so_far)).filter("late = 0")
+        made = F.col("at").isNull() & (F.col("left") < m) & (F.col("left") + F.size("ids") >= m)
+        rows = rows.withColumn("base", F.max(F.when(made, F.col("e"))).over(whole)).withColumn("into", F.coalesce("host", F.min("u").over(whole)))
+        rows = written(rows.withColumn("cluster", F.coalesce("at", F.when(F.col("base").isNotNull(), F.struct("base.a", "base.b").cast(kind)))))
+        fell = rows.filter("cluster is not null").select(F.explode("ids").alias("id"), "cluster", F.coalesce(F.greatest("e", "base"), F.col("e")).alias("e"))
+        falls.append(fell)
+
+        met = rows.filter("host is null").groupBy(F.col("into").alias("u")).agg(F.flatten(F.collect_list(F.when(F.col("cluster").isNull(), F.col("ids")))).alias("ids"), F.first("cluster").alias("cluster"))
+        grown = joined.filter("u = into").select("u", F.lit(None).cast(met.schema["ids"].dataType).alias("ids"), "cluster")
+        gone = rows.select("u", "into").unionByName(joined.select("u", "into"))
+        nodes = written(nodes.join(gone.select("u"), "u", "left_anti").unionByName(met).unionByName(grown))
+        moved = current.join(gone.toDF("u", "x"), "u", "left").join(gone.toDF("v", "y"), "v", "left")
         x, y = F.coalesce("x", "u"), F.coalesce("y", "v")
         moved = moved.filter(x != y).select(F.least(x, y).alias("u"), F.greatest(x, y).alias("v"), "e")
         current = written(moved.groupBy("u", "v").agg(F.min("e").alias("e")))
-    return facts, members, nodes.filter("cond is not null").select(F.col("cond").alias("cluster"))
+    return _union(splits), _union(falls), nodes.filter("cluster is not null").select("cluster")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame | None:
+    whole = None
+    for p in parts:
+        whole = p if whole is None else whole.unionByName(p)
+    return whole
+
+
+def _climb(falls: DataFrame, splits: DataFrame) -> DataFrame:
+    """Falls from the cluster that is there at the fall's edge: up from the cluster noted, as long as that has merged into its parent before."""
+    up = splits.select("cluster", "parent", F.col("e").alias("merged"))
+    done = None
+    while True:
+        step = written(falls.join(up, "cluster", "left"))
+        higher = step.filter("merged < e").select("id", F.col("parent").alias("cluster"), "e")
+        here = step.filter("merged is null or merged >= e").select("id", "cluster", "e")
+        done = here if done is None else done.unionByName(here)
+        if not higher.limit(1).count():
+            return done
+        falls = higher
 
 
-def _choose(tree: DataFrame, single_root: bool) -> DataFrame:
-    """``(cluster, top)``: the chosen cluster each cluster lies in, if any.
+def _choose(tree: DataFrame, single_root: bool) -> tuple[DataFrame, DataFrame]:
+    """(cluster, size, stability) and (cluster, top), the chosen cluster each cluster lies in, if any.
 
-    From the leaves up, a cluster is worth its own stability or the worth of its two children, whichever is more, and its own on a
-    tie; the topmost ones that are worth their own are chosen. A single root stands for all points and is not chosen. There are as many
-    rounds as the condensed tree is deep; then pointers to the parents double.
+    ``tree`` has cluster, parent, birth, split (density at which it splits, if it does), own and left (number of its own points and sum of
+    the densities at which they fall out). From the leaves up, a cluster is worth its own stability or the worth of its two parts, whichever
+    is more, and its own on a tie; the topmost ones that are worth their own are chosen. A single root stands for all points
+    and is not chosen. There are as many rounds as the condensed tree is deep; then pointers to the parents double.
     """
-    inner = tree.filter("parent is not null").select(F.col("parent").alias("cluster")).distinct()
-    ready = written(tree.join(inner, "cluster", "left_anti").select("cluster", "parent", F.col("stability").alias("worth"), F.lit(True).alias("own")))
-    waiting = written(tree.join(inner, "cluster", "left_semi").select("cluster", "parent", "stability"))
-    parts = ready
-    sums = None
-    while waiting.limit(1).count():
-        more = ready.groupBy(F.col("parent").alias("cluster")).agg(F.sum("worth").alias("below"), F.count(F.lit(1)).alias("n"))
-        sums = more if sums is None else sums.unionByName(more).groupBy("cluster").agg(F.sum("below").alias("below"), F.sum("n").alias("n"))
+    below = tree.filter("split is null").select("*", F.lit(0).cast("long").alias("parts"), F.lit(0.0).alias("below"))
+    waiting = written(tree.filter("split is not null"))
+    ready, done, sums = None, [], None
+    while True:
+        size = F.col("own") + F.col("parts")
+        stability = F.col("left") + F.coalesce(F.col("parts") * F.col("split"), F.lit(0.0)) - size * F.col("birth")
+        ready = below.select("cluster", "parent", size.alias("size"), stability.alias("stability"), "below", F.col("split").isNull().alias("leaf"))
+        ready = written(ready.withColumn("worth", F.when(F.col("leaf"), F.col("stability")).otherwise(F.greatest("stability", "below"))))
+        done.append(ready)
+        if not waiting.limit(1).count():
+            break
+        more = ready.groupBy(F.col("parent").alias("cluster")).agg(F.sum("size").alias("parts"), F.sum("worth").alias("below"), F.count(F.lit(1)).alias("n"))
+        sums = more if sums is None else sums.unionByName(more).groupBy("cluster").agg(F.sum("parts").alias("parts"), F.sum("below").alias("below"), F.sum("n").alias("n"))
         sums = written(sums)
-        full = waiting.join(sums.filter("n = 2"), "cluster")
-        ready = written(full.select("cluster", "parent", F.greatest("stability", "below").alias("worth"), (F.col("stability") >= F.col("below")).alias("own")))
-        waiting = written(waiting.join(ready.select("cluster"), "cluster", "left_anti"))
-        parts = parts.unionByName(ready)
-    allowed = F.col("own") & (F.col("parent").isNotNull() if single_root else F.lit(True))
-    paths = written(parts.select("cluster", F.col("parent").alias("up"), F.when(allowed, F.col("cluster")).alias("top")))
+        below = written(waiting.join(sums.filter("n = 2").drop("n"), "cluster"))
+        waiting = written(waiting.join(below.select("cluster"), "cluster", "left_anti"))
+    every = written(_union(done))
+    allowed = (F.col("leaf") | (F.col("stability") >= F.col("below"))) & (F.col("parent").isNotNull() if single_root else F.lit(True))
+    paths = written(every.select("cluster", F.col("parent").alias("up"), F.when(allowed, F.col("cluster")).alias("top")))
     while paths.filter("up is not null").limit(1).count():
         above = paths.select(F.col("cluster").alias("up"), F.col("up").alias("next"), F.col("top").alias("higher"))
         paths = written(paths.join(above, "up", "left").select("cluster", F.col("next").alias("up"), F.coalesce("higher", "top").alias("top")))
-    return paths.select("cluster", "top")
+    return every.select("cluster", "size", "stability"), paths.select("cluster", "top")
 
 
 def condense(points: DataFrame, edges: DataFrame, min_cluster_size: int = 10) -> DensityHierarchy:
@@ -122,32 +156,28 @@ def condense(points: DataFrame, edges: DataFrame, min_cluster_size: int = 10) ->
         raise ValueError("a cluster has two points or more")
     a, b = F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
     one = edges.filter("src <> dst").groupBy(a, b).agg(F.min(F.col("reach").cast("double")).alias("w"))
-    facts, members, tops = _merge_rounds(points.select("id"), one, min_cluster_size)
-    if not facts:
+    splits, falls, tops = _merge_rounds(points.select("id"), one, min_cluster_size)
+    if falls is None:
         nobody = points.select("id", F.lit(None).cast("string").alias("cluster"), F.lit(None).cast("double").alias("fell"), F.lit(NOISE).cast("long").alias("cluster_id"))
         kind = "cluster string, parent string, size long, birth double, stability double, chosen boolean"
         return DensityHierarchy(points.sparkSession.createDataFrame([], kind), nobody)
-    every = facts[0]
-    for f in facts[1:]:
-        every = every.unionByName(f)
-    density = 1 / F.greatest("height", F.lit(_TINY))
-    birth = F.max(F.when(F.col("parent").isNotNull(), density))
-    tree = every.groupBy("cluster").agg(
-        F.max("parent").alias("parent"), F.sum("size").alias("size"), F.coalesce(birth, F.lit(0.0)).alias("birth"), F.sum(F.col("size") * density).alias("left")
-    )
-    tree = written(tree.withColumn("stability", F.col("left") - F.col("size") * F.col("birth")).drop("left"))
-    chosen = written(_choose(tree, tops.count() == 1))
-    places = members[0]
-    for p in members[1:]:
-        places = places.unionByName(p)
+    splits, density = written(splits), 1 / F.greatest("e.w", F.lit(_TINY))
+    places = written(_climb(falls, splits).select("id", "cluster", density.alias("fell")))
+    # a cluster is known by its points or by its parts
+    own = places.groupBy("cluster").agg(F.count(F.lit(1)).alias("own"), F.sum("fell").alias("left"))
+    parted = splits.select(F.col("parent").alias("cluster"), density.alias("split")).distinct()
+    tree = own.join(parted, "cluster", "full").join(splits.select("cluster", "parent", density.alias("birth")), "cluster", "left")
+    tree = written(tree.fillna(0, ["own"]).fillna(0.0, ["left", "birth"]))
+    sums, chosen = _choose(tree, tops.count() == 1)
+    chosen = written(chosen)
     held = places.join(chosen, "cluster", "left")
     names = held.filter("top is not null").groupBy("top").agg(F.min("id").alias("cluster_id"))
-    labelled = held.join(names, "top", "left").select("id", "cluster", density.alias("fell"), "cluster_id")
+    labelled = held.join(names, "top", "left").select("id", "cluster", "fell", "cluster_id")
     full = points.select("id").join(labelled, "id", "left")
     full = written(full.select("id", "cluster", "fell", F.coalesce("cluster_id", F.lit(NOISE)).cast("long").alias("cluster_id")))
     picked = chosen.filter("cluster = top").select("cluster", F.lit(True).alias("chosen"))
-    tree = tree.join(picked, "cluster", "left").withColumn("chosen", F.coalesce("chosen", F.lit(False)))
-    return DensityHierarchy(tree, full)
+    tree = tree.select("cluster", "parent", "birth").join(sums, "cluster").join(picked, "cluster", "left")
+    return DensityHierarchy(tree.withColumn("chosen", F.coalesce("chosen", F.lit(False))), full)
 
 
 def density_hierarchy(
