@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conceptlink import fixtures as fx
 from conceptlink.functions.vec import tidy as tidy_col
-from conceptlink.operators import clustering, density, hierarchy, linkage, neighbors, summaries
+from conceptlink.operators import clustering, density, hierarchy, linkage, neighbors, spectra, summaries
 from conceptlink.plans import cluster_analysis
 from conceptlink.plans.registry import query
 from conceptlink.plans.source_queries import fresh_path
@@ -150,6 +150,13 @@ def spectral_clusters_by_affinity(spark, sf_dir):
     return sizes(clustering.spectral_clusters(points(spark, sf_dir), 5, affinity=lambda d: F.exp(-d * d)))
 
 
+@query("F4")
+def spectral_embedding_clusters(spark, sf_dir):
+    rows = points(spark, sf_dir)
+    edges = neighbors.local_affinity(neighbors.nearest(rows, 10), 10)
+    return spectra.embedded_clusters(rows, edges, 5)
+
+
 @query("F5")
 def hierarchical_clusters(spark, sf_dir):
     return sizes(clustering.bisecting(points(spark, sf_dir), 7))
@@ -442,6 +449,12 @@ def laplacian_eigengaps(spark, sf_dir):
     return clustering.eigengap(neighbors.local_affinity(near, 10))
 
 
+@query("F23")
+def smallest_laplacian_eigenvalues(spark, sf_dir):
+    near = neighbors.nearest(points(spark, sf_dir), 10)
+    return spectra.laplacian_gaps(neighbors.local_affinity(near, 10), count=30, tolerance=1e-4)
+
+
 @query("F24")
 def cluster_analysis_report(spark, sf_dir):
     path = fresh_path(spark)

@@ -10,7 +10,8 @@ TINY = "/root/testdata/sf0.001"
 SLOW = {
     "chosen_cluster_count", "cluster_analysis_report", "cross_validation_report", "density_hierarchy_clusters", "document_cluster_sizes",
     "forest_report", "gap_statistics", "laplacian_eigengaps", "logistic_report", "multi_level_density_clusters",
-    "network_training_curve", "projected_kmeans_clusters", "silhouette_scan", "spectral_clusters", "spectral_clusters_by_affinity",
+    "network_training_curve", "projected_kmeans_clusters", "silhouette_scan", "smallest_laplacian_eigenvalues", "spectral_clusters", "spectral_clusters_by_affinity",
+    "spectral_embedding_clusters",
 }
 
 
