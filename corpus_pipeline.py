@@ -22,8 +22,10 @@ def drop_poor_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the lines that three or more documents share, except in one; no document goes. n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs, min_chars=20, min_docs=3)
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    kept = line_dedup.dedup_lines(docs, min_chars=20, min_docs=3, counts=False)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,29 @@ def test_line_dedup_keeps_the_last_holder(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_with_clashing_columns(spark):
+    line = "A line of more than twenty letters"
+    kind = "doc_id long, text string, id long, mark string, drop array<int>, found string, pos int, n_lines string, `a.b` int, doc string"
+    rows = [(i, f"{line}\nx{i}", 9, "m", [1], "f", 2, "own", 3, None) for i in range(4)] + [(None, line, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, kind)
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert {i: r["text"] for i, r in got.items()} == {0: "x0", 1: "x1", 2: "x2", 3: f"{line}\nx3", None: line}
+    assert got[0]["n_lines"] == 2 and got[0]["n_dropped"] == 1 and got[0]["id"] == 9 and got[0]["drop"] == [1] and got[0]["a.b"] == 3
+    plain = line_dedup.dedup_lines(docs, counts=False)
+    assert plain.columns == docs.columns and {r["n_lines"] for r in plain.collect()} == {"own", None}
+
+
+def test_line_dedup_of_a_very_long_document(spark):
+    r = np.random.default_rng(4)
+    shared = [f"a shared line with number {i}" for i in range(60_000)]
+    own = [f"an own line with number {i} of its own" for i in range(60_000)]
+    mixed = [x for pair in zip(shared, own) for x in pair] + ["", "short"]
+    texts = ["\n".join(r.permutation(shared)), "\n".join(mixed), "\n".join(shared)]
+    got = {x["doc_id"]: x for x in line_dedup.dedup_lines(frame(spark, texts, False)).collect()}
+    assert got[0]["text"] == "" and got[0]["n_dropped"] == 60_000 and got[2]["text"] == texts[2]
+    assert got[1]["text"] == "\n".join([*own, "", "short"]) and got[1]["n_lines"] == 120_002
+
+
 def test_suffix_dedup_equals_brute_force(spark):
     r = np.random.default_rng(1)
     parts = ["".join(r.choice(list("abcde é"), n)) for n in (150, 220, 130, 99, 100)]
