@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptlink.functions import vec as vx
 from conceptlink.operators.components import connected_components
+from conceptlink.operators.many_kmeans import gap_scan, scan_numbers
 from conceptlink.operators.neighbors import local_affinity, nearest
 from conceptlink.operators.ranking import global_index
 from conceptlink.operators.sampling import subsample
@@ -327,16 +328,17 @@ def choose_k(
     extra: Sequence[int] = (2, 5, 10, 20, 50, 100),
     seed: int = 7,
     most: int | None = 200,
+    n_init: int = 1,
 ) -> tuple[int, DataFrame, DataFrame]:
     """Number of clusters by the gap statistic, with a silhouette scan around it for comparison.
 
     Without ``high`` the candidates end at half the rows, but at ``most`` (None: no bound). The scan also tries the
-    ``extra`` numbers. Returns the gap's choice and both tables.
+    ``extra`` numbers. All models of a table share their scans. Returns the gap's choice and both tables.
     """
     n = points.count()
     high = high or (n // 2 if most is None else min(n // 2, most))
-    gaps = gap_statistic(points, range(low, high, step), references, "inertia", seed=seed)
+    gaps = gap_scan(points, range(low, high, step), references, "inertia", n_init=n_init, seed=seed)
     by_gap = best_by_gap(gaps)
     near = range(max(by_gap - around, 2), min(by_gap + around, n))
     tried = sorted({*near, *(k for k in extra if k < high)})
-    return by_gap, gaps, silhouette_scan(points, tried)
+    return by_gap, gaps, scan_numbers(points, tried, n_init, seed).select("k", "silhouette")

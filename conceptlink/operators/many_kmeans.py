@@ -22,6 +22,7 @@ from conceptlink.operators.sampling import subsample
 OWN = -1  # the rows themselves; 0 and up are reference copies
 SEED_ROWS = 4096  # rows that starts are drawn from
 SLICE = 1 << 22  # distances held at once
+ROWS = 8192  # cluster sums a frame holds
 CENTERS = 1 << 22  # numbers in the centres of one scan: more models take turns
 
 
@@ -94,6 +95,19 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return near, far
 
 
+def _used(n: list[np.ndarray], s: list[np.ndarray], **more: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """Rows of the clusters in use, of many models in one frame."""
+    model = np.repeat(np.arange(len(n)), [len(c) for c in n])
+    cluster = np.concatenate([np.arange(len(c)) for c in n])
+    size, sums = np.concatenate(n), np.concatenate(s)
+    extra = {name: np.concatenate(parts) for name, parts in more.items()}
+    used = np.flatnonzero(size)
+    for a in range(0, len(used), ROWS):
+        at = used[a : a + ROWS]
+        frame = {"model": model[at], "cluster": cluster[at], "n": size[at], **{name: v[at] for name, v in extra.items()}}
+        yield pd.DataFrame({**frame, "s": list(sums[at])})
+
+
 def _scan(points: DataFrame, models: Sequence[Model], box: np.ndarray | None, seed: int, dim: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """Size and vector sum of every cluster, and the cost, of every model, in one pass."""
     spark = points.sparkSession
@@ -110,16 +124,16 @@ def _scan(points: DataFrame, models: Sequence[Model], box: np.ndarray | None, se
                 continue
             rows: dict[int, np.ndarray] = {}
             for i, (copy, centers) in enumerate(held):
-                x = rows.setdefault(copy, None) if copy in rows else rows.setdefault(copy, _rows_of(pdf, copy, box))
+                if copy not in rows:
+                    rows[copy] = _rows_of(pdf, copy, box)
+                x = rows[copy]
                 near, far = _nearest(x, centers)
                 n[i] += np.bincount(near, minlength=len(centers))
                 np.add.at(s[i], near, x)
                 cost[i] += far.sum()
-        for i in range(len(held)):
-            used = np.flatnonzero(n[i])
-            if len(used):
-                first = np.where(np.arange(len(used)) == 0, cost[i], 0.0)
-                yield pd.DataFrame({"model": i, "cluster": used, "n": n[i][used], "cost": first, "s": list(s[i][used])})
+        # a model's cost goes with its first cluster in use
+        shares = [np.where(np.arange(len(c)) == np.argmax(c > 0), v, 0.0) for c, v in zip(n, cost)]
+        yield from _used(n, s, cost=shares)
 
     parts = frame.mapInPandas(step, "model int, cluster int, n double, cost double, s array<double>")
     totals = parts.groupBy("model", "cluster").agg(
@@ -214,10 +228,7 @@ def mean_silhouettes(points: DataFrame, fits: Sequence[Model]) -> list[float]:
                         n[i] += np.bincount(near, minlength=len(c))
                         q[i] += np.bincount(near, weights=(x * x).sum(axis=1), minlength=len(c))
                         np.add.at(s[i], near, x)
-            for i in range(len(centers)):
-                used = np.flatnonzero(n[i])
-                if len(used):
-                    yield pd.DataFrame({"model": i, "cluster": used, "n": n[i][used], "q": q[i][used], "s": list(s[i][used])})
+            yield from _used(n, s, q=q)
 
         parts = frame.mapInPandas(sums, "model int, cluster int, n double, q double, s array<double>")
         totals = parts.groupBy("model", "cluster").agg(
@@ -275,7 +286,7 @@ def gap_scan(
     references: int = 15,
     form: str = "inertia",
     unit_box: bool = False,
-    n_init: int = 10,
+    n_init: int = 1,
     seed: int = 7,
 ) -> DataFrame:
     """``(k, gap, s_k, log_w, log_w_ref)`` as ``clustering.gap_statistic`` defines it, all models fitted together.

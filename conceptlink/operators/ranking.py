@@ -87,21 +87,45 @@ def running_totals(
     return running.drop("_slice", *[f"_before_{c}" for c in sums])
 
 
+SPLITS = [i / 64 for i in range(65)]
+
+
 def exact_median(df: DataFrame, group_cols: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group; the mean of the two middle values for even counts."""
+    """Exact median per group; the mean of the two middle values for even counts.
+
+    Nothing is sorted. A round draws split values of every group from a mergeable sketch, counts the
+    rows between and on them exactly, and goes on with the rows of the one cell that holds the middle:
+    about a 64th of those before. A split value is a cell of its own, so a value repeated
+    any number of times ends the search. Nulls do not count, and a group without values has no row.
+    """
     keys = list(group_cols) or ["_all"]
-    if not group_cols:
-        df = df.withColumn("_all", F.lit(1))
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    running = written(running_totals(counted, [value], {"_n": "_upto"}, keys))
-    totals = running.groupBy(*keys).agg(F.max("_upto").alias("_total"))
-    joined = running.join(totals, keys)
-    lower = F.floor((F.col("_total") + 1) / 2)
-    upper = F.floor((F.col("_total") + 2) / 2)
-    starts = F.col("_upto") - F.col("_n")
-
-    def covers(place: Column) -> Column:
-        return (place > starts) & (place <= F.col("_upto"))
-
-    middle = joined.filter(covers(lower) | covers(upper))
-    return middle.groupBy(*keys).agg(((F.max(value) + F.min(value)) / 2.0).alias(name)).select(*group_cols, name)
+    rows = df.filter(F.col(value).isNotNull()).select(*(group_cols or [F.lit(1).alias("_all")]), F.col(value).alias("_v"))
+    real = dict(rows.dtypes)["_v"] in ("double", "float")
+    finite = F.when(~F.isnan("_v"), F.col("_v")) if real else F.col("_v")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # places of the middle values among the rows still in question
+    asked = sizes.select(*keys, F.expr("(_n + 1) div 2").alias("_low"), F.expr("(_n + 2) div 2").alias("_high"))
+    found = None
+    while True:
+        asked, sketch = written(asked), rows.groupBy(*keys).agg(F.percentile_approx(finite, SPLITS, 10_000).alias("_s"))
+        splits = sketch.select(*keys, F.coalesce(F.array_distinct("_s"), F.array().cast(dict(sketch.dtypes)["_s"])).alias("_s"))
+        under = F.size(F.filter("_s", lambda s: s < F.col("_v")))
+        placed = rows.join(splits, keys).withColumn("_cell", 2 * under + F.array_contains("_s", F.col("_v")).cast("int")).drop("_s")
+        cells = placed.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+        # at most 131 cells a group
+        upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        cells = cells.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_past", F.col("_upto") - F.col("_n"))
+        middle = cells.join(asked, keys).filter((F.col("_low") <= F.col("_upto")) & (F.col("_high") > F.col("_past")))
+        middle = written(middle)
+        ends = middle.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_cells"), F.min("_from").alias("_a"), F.max("_to").alias("_b"), F.min("_to").alias("_x"), F.max("_from").alias("_y")
+        )
+        # the two middle values are neighbours: in two cells they are the end of one and the beginning of the other
+        settled = ends.filter((F.col("_cells") == 2) | (F.col("_a") == F.col("_b"))).select(*keys, ((F.col("_x") + F.col("_y")) / 2.0).alias(name))
+        found = settled if found is None else found.unionByName(settled)
+        open_ = ends.filter((F.col("_cells") == 1) & (F.col("_a") != F.col("_b"))).select(*keys)
+        left = middle.join(open_, keys)
+        if left.isEmpty():
+            return found.select(*group_cols, name)
+        asked = left.select(*keys, (F.col("_low") - F.col("_past")).alias("_low"), (F.col("_high") - F.col("_past")).alias("_high"))
+        rows = written(placed.join(left.select(*keys, "_cell"), [*keys, "_cell"]).select(*keys, "_v"))

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from conceptlink.functions import vec as vx
 from conceptlink.functions.text import counted
+from conceptlink.operators.ranking import global_index
+from conceptlink.operators.staging import written
 
 
 def dimension(vectors: DataFrame, vec: str = "vec") -> int:
@@ -139,6 +143,55 @@ def analogy(vectors: DataFrame, a: str, b: str, c: str, k: int = 1) -> DataFrame
     return nearest_words(vectors, query, (a, b, c), k)
 
 
+def _blocks(df: DataFrame, size: int, key: str) -> tuple[DataFrame, int]:
+    """``df`` dealt by hash of ``key`` into blocks of about ``size`` rows, and their number."""
+    count = max(1, -(-df.count() // size))
+    return df.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(count)).cast("int")), count
+
+
+def analogies(vectors: DataFrame, questions: DataFrame, k: int = 1, block: int = 1024) -> DataFrame:
+    """``(question, rank, token, cosine)`` for a table ``(question, a, b, c)`` of "a is to b as c is to ?".
+
+    The words nearest to ``b - a + c``, the inputs left out, ties by word. Blocks of questions meet
+    blocks of words; each meeting sends on its best few per question, which are merged by rank. ``question`` must be unique.
+    A question with an unknown word or a null, or whose target is all zero, has no rows; all-zero words are never answers.
+    """
+    known = vectors.select("token", vx.as_doubles(F.col("vec")).alias("x"))
+    asked = questions.select("question", "a", "b", "c")
+    for side in ("a", "b", "c"):
+        asked = asked.join(known.select(F.col("token").alias(side), F.col("x").alias(f"_{side}")), side)
+    target = F.transform(F.zip_with("_b", "_a", lambda b, a: b - a), lambda d, i: d + F.col("_c")[i])
+    asked = asked.select("question", "a", "b", "c", target.alias("q")).filter(~vx.is_zero(F.col("q")))
+    asked = written(global_index(asked, ["question"], "n"))
+    words = written(global_index(known.filter(~vx.is_zero(F.col("x"))), ["token"], "place"))
+    dealt, question_blocks = _blocks(asked, block, "n")
+    spread, word_blocks = _blocks(words, 4 * block, "place")
+    left = dealt.select("n", "q", F.col("_block").alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(word_blocks - 1))).alias("wb"))
+    right = spread.select("place", "x", F.col("_block").alias("wb"), F.explode(F.sequence(F.lit(0), F.lit(question_blocks - 1))).alias("qb"))
+    most = k + 3  # a question's own words are dropped afterwards
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"n": [], "place": [], "cosine": []})
+        q, x, place = np.stack(a["q"].to_numpy()), np.stack(b["x"].to_numpy()), b["place"].to_numpy()
+        q, x = (m / np.linalg.norm(m, axis=1)[:, None] for m in (q, x))
+        rough = q @ x.T
+        least = np.partition(rough, -most, axis=1)[:, -most] if len(x) > most else np.full(len(q), -2.0)
+        i, j = np.nonzero(rough >= least[:, None] - 1e-9)
+        exact = (q[i] * x[j]).sum(axis=1)  # one formula wherever a word stands, so that equal vectors tie
+        order = np.lexsort((place[j], -exact, i))
+        i, j, exact = i[order], j[order], exact[order]
+        keep = np.arange(len(i)) - np.searchsorted(i, i) < most
+        return pd.DataFrame({"n": a["n"].to_numpy()[i[keep]], "place": place[j[keep]], "cosine": exact[keep]})
+
+    best = left.groupBy("qb", "wb").cogroup(right.groupBy("qb", "wb")).applyInPandas(meet, "n long, place long, cosine double")
+    named = best.join(asked.select("n", "question", "a", "b", "c"), "n").join(words.select("place", "token"), "place")
+    fair = named.filter(~F.col("token").isin(F.col("a"), F.col("b"), F.col("c")))
+    w = Window.partitionBy("question").orderBy(F.desc("cosine"), "token")
+    ranked = fair.filter(F.col("cosine") > -1).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.select("question", "rank", "token", "cosine")
+
+
 def pca(df: DataFrame, k: int, vec: str = "vec", out: str = "projected") -> DataFrame:
     """Projection on the top ``k`` principal axes of the centred vectors."""
     with_vector = df.withColumn("_raw", array_to_vector(vx.as_doubles(F.col(vec))))

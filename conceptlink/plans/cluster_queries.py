@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conceptlink import fixtures as fx
 from conceptlink.functions.vec import tidy as tidy_col
-from conceptlink.operators import clustering, density, hierarchy, linkage, neighbors, spectra, summaries
+from conceptlink.operators import clustering, density, descent, hierarchy, linkage, many_kmeans, neighbors, spectra, summaries
 from conceptlink.plans import cluster_analysis
 from conceptlink.plans.registry import query
 from conceptlink.plans.source_queries import fresh_path
@@ -100,6 +100,12 @@ def estimated_radius(spark, sf_dir):
     return spark.createDataFrame([(round(eps, 6),)], "eps double")
 
 
+@query("F21")
+def descended_neighbors(spark, sf_dir):
+    """Approximate; tests compare its recall with brute force."""
+    return descent.descent_neighbors(points(spark, sf_dir), 10)
+
+
 # --- clusterings -----------------------------------------------------------------------
 
 
@@ -109,7 +115,7 @@ def sizes(assigned):
 
 @query("F1")
 def kmeans_clusters(spark, sf_dir):
-    return sizes(clustering.kmeans(points(spark, sf_dir), 7, n_init=3))
+    return sizes(clustering.kmeans(points(spark, sf_dir), 7))
 
 
 @query("F2")
@@ -409,12 +415,13 @@ def sampled_silhouette_score(spark, sf_dir):
 
 @query("F17")
 def silhouette_scan(spark, sf_dir):
-    return clustering.silhouette_scan(points(spark, sf_dir), [2, 3, 5])
+    scan = many_kmeans.scan_numbers(points(spark, sf_dir), [2, 3, 4, 5, 6, 10, 15, 20])
+    return scan.select("k", "silhouette")
 
 
 @query("F18")
 def gap_statistics(spark, sf_dir):
-    return clustering.gap_statistic(points(spark, sf_dir), [1, 2, 4], references=2)
+    return many_kmeans.gap_scan(points(spark, sf_dir), range(1, 20))
 
 
 @query(
@@ -438,7 +445,7 @@ def bounding_box(spark, sf_dir):
 
 @query("F20")
 def chosen_cluster_count(spark, sf_dir):
-    k, gaps, scan = clustering.choose_k(points(spark, sf_dir), low=2, high=6, step=2, references=2, around=1, extra=(2, 5))
+    k, gaps, scan = clustering.choose_k(points(spark, sf_dir))
     joined = gaps.select("k", "gap").join(scan, "k", "full")
     return joined.withColumn("chosen", F.col("k") == k)
 

@@ -201,6 +201,36 @@ def analogies(spark, sf_dir):
     return found.select("token", tidy_col(F.col("cosine")).alias("cosine"))
 
 
+@query(
+    "D10",
+    with_views(
+        "wvd",
+        extra={
+            "qs": """SELECT x.vec_id AS question, x.token AS a, y.token AS b, z.token AS c FROM wv x
+                     JOIN wv y ON y.vec_id = x.vec_id + 1 JOIN wv z ON z.vec_id = x.vec_id + 2""",
+            "q": """SELECT question, a, b, c, wa.dim, wb.v - wa.v + wc.v AS v FROM qs JOIN wvd wa ON wa.token = a
+                    JOIN wvd wb ON wb.token = b AND wb.dim = wa.dim JOIN wvd wc ON wc.token = c AND wc.dim = wa.dim""",
+            "qn": "SELECT question, sqrt(sum(v * v)) AS len FROM q GROUP BY question",
+            "wn": "SELECT token, sqrt(sum(v * v)) AS len FROM wvd GROUP BY token",
+            "d": """SELECT question, w.token, sum(w.v * q.v) AS dot FROM q JOIN wvd w USING (dim)
+                    WHERE w.token NOT IN (a, b, c) GROUP BY question, w.token""",
+            "s": "SELECT question, token, dot / (qn.len * wn.len) AS cosine FROM d JOIN qn USING (question) JOIN wn USING (token)",
+        },
+        body=f"""SELECT question, CAST(place AS INTEGER) AS rank, token, {tidy('cosine')} AS cosine FROM (
+            SELECT *, row_number() OVER (PARTITION BY question ORDER BY cosine DESC, token) AS place FROM s) WHERE place <= 5""",
+    ),
+)
+def analogy_table(spark, sf_dir):
+    """Every three words that stand next to each other by frequency are a question."""
+    known = fx.word_vectors(spark, sf_dir)
+    words = known.select(F.col("vec_id"), "token")
+    questions = words.select(F.col("vec_id").alias("question"), F.col("token").alias("a"))
+    for step, name in ((1, "b"), (2, "c")):
+        questions = questions.join(words.select((F.col("vec_id") - step).alias("question"), F.col("token").alias(name)), "question")
+    found = vectors.analogies(known, questions, k=5)
+    return found.select("question", F.col("rank").cast("int").alias("rank"), "token", tidy_col(F.col("cosine")).alias("cosine"))
+
+
 @query("D11", with_views("ptd", body=f"SELECT id, dim, {tidy('greatest(v, 0.0)')} AS v FROM ptd"))
 def relu_values(spark, sf_dir):
     points = fx.points(spark, sf_dir)

@@ -88,6 +88,22 @@ def test_exact_median(spark):
     assert exact_median(df, [], "v").first()["median"] == statistics.median(v for _, v in values)
 
 
+def test_exact_median_of_wide_and_repeated_values(spark):
+    import random
+
+    rnd = random.Random(3)
+    values = [("wide", rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300)) for _ in range(2001)]
+    values += [("even", rnd.gauss(0, 1)) for _ in range(3000)] + [("copies", 7.0)] * 4000 + [("copies", float(i)) for i in range(3000)]
+    values += [("border", 1.0)] * 500 + [("border", 2.0)] * 500 + [("nulls", None), ("nulls", 3.0), ("none", None)]
+    df = spark.createDataFrame(values, "g string, v double").repartition(6)
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    want = {g: statistics.median(v for k, v in values if k == g and v is not None) for g in ("wide", "even", "copies", "border", "nulls")}
+    assert got == want
+    whole = df.selectExpr("cast(round(v) as long) as n").filter("abs(v) < 1e6")
+    assert exact_median(whole, [], "n").first()["median"] == statistics.median(r["n"] for r in whole.collect())
+    assert exact_median(df.limit(0), ["g"], "v").count() == 0
+
+
 def test_scaling(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     z = features.scale(df, ["a", "b"], "z").collect()
