@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import re
 import zlib
 
 import numpy as np
@@ -240,6 +241,50 @@ def test_leaks_allow_substitutions_and_spare_clean_texts(spark):
     bench = spark.createDataFrame([(1, " ".join(item), "u"), (2, "a b", "u"), (None, None, "u"), (3, " ".join(words(12, 6)), "u")], "item_id long, text string, doc_id string")
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame(spark, texts), bench).collect()} == {(0, 1), (1, 1)}
     assert decontaminate.leaks(frame(spark, texts), bench.limit(0)).count() == 0
+    assert decontaminate.leaks(frame(spark, texts).limit(0), bench).count() == 0
+
+
+def plain_leaks(docs, items, percent=80):
+    """doc_id, item_id -> (equal words of the best window, its first place), window by window."""
+    split = lambda t: re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]+", lambda m: m.group().lower(), t or ""))
+    out = {}
+    for doc, text in docs:
+        d = split(text)
+        for item_id, item in items:
+            q = split(item)
+            n = min(len(q), 16)
+            need = percent * n if n >= 5 else 100 * n
+            for i in range(len(q) - n + 1 if n else 0):
+                for j in range(len(d) - n + 1):
+                    same = sum(x == y for x, y in zip(q[i : i + n], d[j : j + n]))
+                    if 100 * same >= need:
+                        out[doc, item_id] = max(out.get((doc, item_id), (0, 0)), (same, -j))
+    return {k: (n, -j) for k, (n, j) in out.items()}
+
+
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_leaks_equal_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(decontaminate, "_HOT", hot)
+    r = np.random.default_rng(21)
+    few = lambda n: [f"W{x}" for x in r.integers(0, 12, n)]  # few words, so that seeds are shared everywhere
+    items = [(i, few(n)) for i, n in enumerate([1, 2, 3, 4, 4, 5, 6, 9, 15, 16, 17, 30, 120])] + [(40, words(3, 300)), (41, [])]
+    docs = [few(80) for _ in range(6)] + [words(3, 300)] * 3
+    for _, q in items:
+        for share in (0.1, 0.25):
+            docs.append(few(3) + [w.lower() if r.random() > share else "zz" for w in q] + few(2))
+    docs += [items[12][1] * 2, ["y"] * 400 + items[9][1] + ["y"] * 400]
+    rows = [(i, "\t ".join(d)) for i, d in enumerate(docs)]
+    bench = [(i, " ".join(q)) for i, q in items]
+    got = decontaminate.leaks(frame(spark, [t for _, t in rows] + [rows[7][1]]), spark.createDataFrame(bench + bench[:3] + [(None, None)], "item_id long, text string"))
+    expected = plain_leaks(rows + [(len(rows), rows[7][1])], bench)
+    assert {(x["doc_id"], x["item_id"]): (x["n_equal"], x["first_word"]) for x in got.collect()} == expected
+
+
+def test_short_items_can_be_passed_over(spark):
+    bench = spark.createDataFrame([(1, "A b"), (2, "c d e f g")], "item_id long, text string")
+    docs = frame(spark, ["x a B y", "a c d e f g", "ab a  c b"])
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == {(0, 1), (1, 2)}
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench, least=5).collect()} == {(1, 2)}
 
 
 def test_base_spans():
