@@ -36,8 +36,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go; rows without doc_id stay."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold a benchmark passage go; rows without doc_id stay.
+
+    Items of 1 to 4 words name no document: such short runs stand in clean texts too.
+    """
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), least=decontaminate.SUBSTITUTED)
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
