@@ -301,6 +301,41 @@ def test_learned_context_finds_what_no_pattern_does(spark):
     assert rows[5] == [] and rows[900] == [] and len(rows[0]) == 1
 
 
+def learned(spark, texts):
+    """Text number -> kind and text of its learned spans."""
+    rows = pii.find_personal_data(frame(spark, texts)).filter("doc_id < 900").collect()
+    return {r["doc_id"]: [(pii.KINDS[x["kind"]], texts[r["doc_id"]][x["low"] : x["high"]]) for x in r["spans"] if x not in r["base"]] for r in rows}
+
+
+def test_learned_contexts_find_identifiers_with_blanks(spark):
+    texts = [f"Ring us on +1 555 010 {1000 + i} now" for i in range(12)] + [f"mail her at: x{i}@host.org , thanks" for i in range(12)]
+    more = ["Ring us on 555 123 4567 now", "Ring us on (555) 123-4567 now", "lot 555 123 4567 sold", "mail her at: Ann.B at host dot org , thanks", "mail her at: bob [at] mail (dot) host.net , thanks"]
+    got = learned(spark, texts + more)
+    assert [got[24 + i] for i in range(5)] == [[("phone", "555 123 4567")], [("phone", "(555) 123-4567")], [], [("email", "Ann.B at host dot org")], [("email", "bob [at] mail (dot) host.net")]]
+    assert not any(got[i] for i in range(24))
+
+
+def test_patterns_chain_until_none_is_new(spark):
+    # the two last instances of a context are known to the next one, which is accepted only when they are scored
+    texts = []
+    for n in range(6):
+        known = [f"+1 555 01{n} {1000 + i}" for i in range(10)]
+        unknown = [f"555 {m}7 400{i}" for m in (n, n + 1) if m for i in range(2)]
+        texts += [f"step{n} of{n} {x} more{n}" for x in known + unknown]
+    got = learned(spark, texts)
+    unseen = [i for i, t in enumerate(texts) if "+1" not in t]
+    assert len(unseen) == 22 and all(got[i] == [("phone", texts[i][10:-6])] for i in unseen)
+    assert not any(got[i] for i in set(got) - set(unseen))
+
+
+def test_candidates_of_long_and_odd_texts():
+    assert pii._candidates("1" * 200_000 + " (" * 50_000 + "1 " * 50_000, []) == [(0, 200_000)]
+    assert pii._candidates("a at " * 40_000, []) == [] and pii._candidates("", []) == []
+    text = "x" * 100_000 + " 555 123 4567 " + "y" * 100_000
+    assert pii._candidates(text, []) == [(100_001, 100_013)] and len(pii._contexts(text, 100_001, 100_013)) == 1
+    assert pii._candidates("call 12 34, or (call 555 1234)", []) == [(21, 29)]
+
+
 def test_warc_reads_past_magic_in_payloads(spark, tmp_path):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     html = ["<p>one</p>", f"x{fake}y", "<p>one</p>", None, "", "WARC/1.1\r\n" * 3, "é" * 500]
