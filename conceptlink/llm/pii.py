@@ -23,8 +23,8 @@ _DIGIT = re.compile(r"[0-9]")
 _MARK = re.compile(r"[0-9]{2}|@|[(\[]at[)\]]")
 _AT = re.compile(r"\s?[(\[]at[)\]]\s?|\sat\s", re.IGNORECASE)
 _HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\s?[(\[]dot[)\]]\s?|\sdot\s|\.)[A-Za-z0-9-]++)+", re.IGNORECASE)
-# a run of digits is read whole, and none begins inside one
-_GROUPS = re.compile(r"(?:\((?=[0-9])|(?<![0-9]))[0-9]++\)?(?:[ ./-]{1,2}\(?[0-9]++\)?)++")
+# a run of digits is read whole, and none begins or ends inside a word
+_GROUPS = re.compile(r"(?:\((?=[0-9])|(?<!\w))[0-9]++\)?(?:[ ./-]{1,2}\(?[0-9]++\)?)++(?!\w)")
 _TRAIL = ".,;:!?\"')]}>"
 
 
