@@ -10,10 +10,8 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel, PowerIterationClustering
 from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.clustering import StreamingKMeansModel
-from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from conceptlink.functions import vec as vx
 from conceptlink.operators.components import connected_components
@@ -77,24 +75,61 @@ def kmeans(points: DataFrame, k: int, n_init: int = 10, seed: int = 7) -> DataFr
 class MiniBatchKMeans:
     """K-means updated batch by batch; also usable from ``foreachBatch``.
 
-    Only the centres stay between batches. ``decay`` 1 weighs all batches alike.
+    A batch's rows go to their nearest centres; a centre moves to the weighted mean of itself and its new rows, with its
+    former weight times ``decay`` (1 weighs all batches alike). Only centres and weights stay between batches. With ``path``,
+    a folder all executors share, they are stored by batch number: a learner made anew goes on from there, and a
+    batch that was finished before changes nothing when it comes again.
     """
 
-    def __init__(self, k: int, decay: float = 1.0, seed: int = 7):
-        self.k, self.decay, self.seed = k, decay, seed
-        self.model: StreamingKMeansModel | None = None
-
-    def update(self, batch: DataFrame) -> None:
-        if self.model is None:
-            first = subsample(batch.select("id", "vec"), self.k, ["id"], self.seed).collect()
+    def __init__(self, k: int, decay: float = 1.0, seed: int = 7, path: str | None = None):
+        self.k, self.decay, self.seed, self.path = k, decay, seed, path
+        self.centers: list[list[float]] = []
+        self.weights: list[float] = []
+
+    def _stored(self, spark: SparkSession) -> list[int]:
+        """Numbers of the finished batches, in order."""
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch=*/_SUCCESS")
+        found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder) or []
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+    def _load(self, spark: SparkSession, number: int) -> None:
+        rows = spark.read.parquet(f"{self.path}/batch={number}").orderBy("cluster_id").collect()
+        self.centers, self.weights = [list(r["center"]) for r in rows], [r["weight"] for r in rows]
+
+    def restore(self, spark: SparkSession) -> None:
+        """Centres after the last finished batch."""
+        for number in self._stored(spark)[-1:]:
+            self._load(spark, number)
+
+    def update(self, batch: DataFrame, number: int | None = None) -> None:
+        """Feed the rows ``(id, vec)`` of a batch; its number is needed with a path alone."""
+        spark = batch.sparkSession
+        if self.path:
+            if number is None:
+                raise ValueError("stored centres need the number of the batch")
+            done = [n for n in self._stored(spark) if n <= number]
+            self.centers, self.weights = [], []
+            for last in done[-1:]:
+                self._load(spark, last)
+            if done and done[-1] == number:
+                return
+        if not self.centers:
+            first = subsample(batch.select("id", "vec"), self.k, ["id"], self.seed).orderBy("id").collect()
             if len(first) < self.k:
                 raise ValueError(f"the first batch has fewer than {self.k} rows")
-            self.model = StreamingKMeansModel([Vectors.dense(r["vec"]) for r in first], [0.0] * self.k)
-        rows = batch.select("vec").rdd.map(lambda r: Vectors.dense(r["vec"]))
-        self.model.update(rows, self.decay, "batches")
+            self.centers, self.weights = [list(map(float, r["vec"])) for r in first], [0.0] * self.k
+        for r in cluster_means(nearest_center(batch.select("vec"), self.centers)).collect():
+            c, old = r["cluster_id"], self.weights[r["cluster_id"]] * self.decay
+            share = r["size"] / (old + r["size"])
+            self.centers[c] = [x + share * (m - x) for x, m in zip(self.centers[c], r["center"])]
+            self.weights[c] = old + r["size"]
+        if self.path:
+            rows = [(c, center, w) for c, (center, w) in enumerate(zip(self.centers, self.weights))]
+            state = spark.createDataFrame(rows, "cluster_id int, center array<double>, weight double")
+            state.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
 
     def assign(self, points: DataFrame) -> DataFrame:
-        return nearest_center(points, [list(map(float, c)) for c in self.model.clusterCenters])
+        return nearest_center(points, self.centers)
 
 
 def minibatch_kmeans(points: DataFrame, k: int, batches: int = 10, seed: int = 7) -> DataFrame:

@@ -120,7 +120,7 @@ def kmeans_clusters(spark, sf_dir):
 
 @query("F2")
 def minibatch_kmeans_clusters(spark, sf_dir):
-    return sizes(clustering.minibatch_kmeans(points(spark, sf_dir), 7, batches=5))
+    return sizes(clustering.minibatch_kmeans(points(spark, sf_dir), 7))
 
 
 def lloyd_step(i: int) -> dict[str, str]:

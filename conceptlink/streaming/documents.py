@@ -35,10 +35,13 @@ def vectorize(stream: DataFrame, vectors: DataFrame, path: str, lowercase: bool
 
 
 def update_centers(stream: DataFrame, learner: MiniBatchKMeans) -> DataStreamWriter:
-    """Feed every arriving batch of ``(id, vec)`` rows to a mini-batch k-means."""
+    """Feed every arriving batch of ``(id, vec)`` rows to a mini-batch k-means.
+
+    With a learner that stores its centres, a stream that is stopped or fails goes on from the last finished batch.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            learner.update(batch)
+            learner.update(batch, number)
 
     return stream.writeStream.foreachBatch(run)

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +128,53 @@ def test_streamed_centres(spark, tmp_path):
     query = stream_docs.update_centers(stream, learner).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert learner.assign(points).groupBy("cluster_id").count().count() == 2
+
+
+def test_streamed_centres_survive_a_restart(spark, tmp_path):
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    points = spark.range(120).select("id", F.array((F.col("id") % 3) * 10.0 + F.col("id") / 100, F.lit(1.0)).alias("vec"))
+    points.repartition(4).write.parquet(source)
+
+    def run(learner, checkpoint, limit=None):
+        seen = []
+
+        def step(batch, number):
+            if limit is not None and len(seen) == limit:
+                raise RuntimeError("killed")
+            learner.update(batch, number)
+            seen.append(number)
+
+        stream = spark.readStream.schema("id long, vec array<double>").option("maxFilesPerTrigger", 1).parquet(source)
+        query = stream.writeStream.foreachBatch(step).option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        except Exception:
+            assert limit is not None
+        return seen
+
+    plain = MiniBatchKMeans(3)
+    assert run(plain, "cp1") == [0, 1, 2, 3]
+    assert run(MiniBatchKMeans(3, path=state), "cp2", limit=2) == [0, 1]
+    later = MiniBatchKMeans(3, path=state)
+    assert run(later, "cp2") == [2, 3]
+    assert np.allclose(later.centers, plain.centers) and later.weights == plain.weights and sum(plain.weights) == 120
+    again = MiniBatchKMeans(3, path=state)
+    again.restore(spark)
+    assert again.centers == later.centers
+    # a finished batch that comes again changes nothing, whatever it holds
+    again.update(points, 3)
+    assert again.centers == later.centers and again.weights == later.weights
+    with pytest.raises(ValueError):
+        again.update(points)
+
+
+def test_minibatch_steps_are_weighted_means(spark):
+    learner = MiniBatchKMeans(1, decay=0.5)
+    batches = [[1.0, 2.0, 6.0], [10.0], [4.0, 8.0]]
+    center, weight = None, 0.0
+    for n, values in enumerate(batches):
+        learner.update(spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id long, vec array<double>"))
+        total = weight * 0.5 * (center or 0.0) + sum(values)
+        weight = weight * 0.5 + len(values)
+        center = total / weight
+        assert abs(learner.centers[0][0] - center) < 1e-12 and learner.weights == [weight]
