@@ -8,7 +8,7 @@ from conceptlink import fixtures as fx
 from conceptlink.functions import text as tx
 from conceptlink.functions.vec import tidy as tidy_col
 from conceptlink.operators import corpus
-from conceptlink.operators.staging import spread
+from conceptlink.operators.staging import spread, written
 from conceptlink.plans.registry import query
 from conceptlink.plans.twins import PUNCT, STOP, hash_key, tidy, with_views
 
@@ -169,6 +169,14 @@ def stemmed_text_coverage(spark, sf_dir):
     return rounded(corpus.stemmed_coverage(lists, fx.word_vectors(spark, sf_dir)))
 
 
+@query("C5")
+def sketched_text_coverage(spark, sf_dir):
+    """Coverage of the texts from stored sketches of each source."""
+    sources = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source")
+    lists = fx.word_lists(spark, sf_dir).join(sources, "doc_id")
+    return corpus.sketched_coverage(written(corpus.coverage_sketches(lists, fx.word_vectors(spark, sf_dir), "source")))
+
+
 @query("C6", with_views("kw", "wv", extra={"src": "SELECT doc_id, concept AS token FROM kw", "per": PER_TEXT}, body=COVERAGE))
 def concept_coverage(spark, sf_dir):
     return rounded(corpus.coverage(fx.word_lists(spark, sf_dir), fx.word_vectors(spark, sf_dir), words="concepts"))

@@ -116,6 +116,30 @@ def test_coverage_of_hand_texts(spark):
     assert got == {"max_words": 3, "min_words": 0, "median_words": 2, "empty_texts": 1, "unique_words": 3, "unique_known": 1}
 
 
+def test_sketched_coverage_is_near_the_exact_one(spark):
+    rows = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 4 > 0, (F.col("id") % 4).cast("string")).alias("source"),
+        F.transform(F.sequence(F.lit(1), F.col("id") % 41), lambda i: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", i), F.lit(20_000)))).alias("words"),
+    )
+    rows = rows.withColumn("words", F.when(F.col("doc_id") % 41 == 0, F.array().cast("array<string>")).otherwise(F.col("words")))
+    vectors = spark.range(9000).select(F.concat(F.lit("w"), "id").alias("token"))
+    sketches = corpus.coverage_sketches(rows, vectors, "source")
+    assert sketches.count() == 4
+    near = {r["metric"]: r["value"] for r in corpus.sketched_coverage(sketches).collect()}
+    exact = {r["metric"]: r["value"] for r in corpus.coverage(rows, vectors).collect()}
+    assert near.keys() == exact.keys()
+    for name in ("max_words", "min_words", "empty_texts"):
+        assert near[name] == exact[name]
+    assert abs(near["mean_hit_ratio"] - exact["mean_hit_ratio"]) < 1e-9 and abs(near["median_words"] - exact["median_words"]) <= 1
+    for name in ("unique_words", "unique_known"):
+        assert abs(near[name] / exact[name] - 1) < 0.03
+    # a part's row merges with those made elsewhere
+    halves = [corpus.coverage_sketches(rows.filter(f"doc_id % 2 = {i}"), vectors, "source") for i in (0, 1)]
+    both = {r["metric"]: r["value"] for r in corpus.sketched_coverage(halves[0].unionByName(halves[1])).collect()}
+    assert both["max_words"] == exact["max_words"] and abs(both["unique_words"] / exact["unique_words"] - 1) < 0.03
+
+
 def test_vectors_in_order_needs_every_word(spark):
     vectors = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "token string, vec array<float>")
     words = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b")], "pos int, token string")
