@@ -231,7 +231,12 @@ def find_personal_data(docs: DataFrame, support: int = 3, least: float = 0.8) ->
     return joined.select("doc_id", "base", spans.alias("spans"))
 
 
+def _number_of(kind: int) -> F.Column:
+    # a lambda with a second parameter would get an element's index there, even if it has a default
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_report(found: DataFrame) -> DataFrame:
     """Counts of the base spans by kind, their digest, and all spans as text."""
-    counts = [F.size(F.filter("base", lambda s, k=i: s["kind"] == k)).cast("long").alias(f"n_{name}") for i, name in enumerate(KINDS)]
+    counts = [_number_of(i).alias(f"n_{name}") for i, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))

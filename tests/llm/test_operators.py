@@ -294,6 +294,17 @@ def test_base_spans():
     assert pii.base_spans("1" * 200_000 + "a" * 200_000) == []
 
 
+def test_report_counts_each_kind_and_digests_the_base_spans(spark):
+    texts = ["a@b.cc", "a@b.cc, c@d.ee 1.2.3.4 +1 555 123 4567", "4111 1111 1111 1111", "+1 555 123 4567, 1.2.3.4 5.6.7.8", "none"]
+    rows = {r["doc_id"]: r for r in pii.span_report(pii.find_personal_data(frame(spark, texts))).collect()}
+    for i, text in enumerate(texts):
+        spans = pii.base_spans(text)
+        assert [rows[i][f"n_{name}"] for name in pii.KINDS] == [sum(k == n for k, _, _ in spans) for n in range(4)]
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+        assert rows[i]["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+    assert [tuple(rows[i][f"n_{name}"] for name in pii.KINDS) for i in range(5)] == [(1, 0, 0, 0), (2, 1, 0, 1), (0, 0, 1, 0), (0, 2, 0, 1), (0, 0, 0, 0)]
+
+
 def test_learned_context_finds_what_no_pattern_does(spark):
     texts = [f"please call me+{i}@mail.example.com today" for i in range(4)] + ["please call me(at)mail today", "see item no 12345678 there"]
     rows = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(frame(spark, texts)).collect()}
