@@ -246,9 +246,9 @@ def related_pairs(spark, sf_dir):
     known = fx.word_vectors(spark, sf_dir)
     doc_vectors = written(doc_vecs(spark, sf_dir))
     rows = pairs.build_pairs(docs, doc_vectors, known, train_size=0.6)
+    rows = rows.join(known.select(F.col("token").alias("concept"), F.col("vec").alias("c")), "concept")
     rows = rows.join(doc_vectors.select("doc_id", F.col("vec").alias("d")), "doc_id")
-    rows = rows.join(known.select(F.col("token").alias("concept"), vx.as_doubles(F.col("vec")).alias("c")), "concept")
-    cosine = tidy_col(vx.cosine(F.col("d"), F.col("c"))).alias("cosine")
+    cosine = tidy_col(vx.cosine(F.col("d"), vx.as_doubles(F.col("c")))).alias("cosine")
     return rows.select("doc_id", "concept", "label", "split", cosine)
 
 
