@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from conceptlink.functions import text as tx
@@ -9,7 +14,7 @@ from conceptlink.functions.stemming import stem
 from conceptlink.operators.ranking import global_index
 from conceptlink.operators.sampling import subsample
 from conceptlink.operators.staging import written
-from conceptlink.operators.vectors import text_sums
+from conceptlink.operators.vectors import in_blocks, text_sums, words_of_blocks
 
 
 def exploded(df: DataFrame, words: Column, id_col: str = "doc_id", name: str = "token") -> DataFrame:
@@ -210,12 +215,38 @@ def word_rows(windows: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def training_examples(windows: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Centre index and sparse context entries ``(idx, share)`` of every window."""
+def _numbered(texts: pa.Table, known: pa.Table, keys: Sequence[str]) -> pa.Table:
+    words = texts["_words"].combine_chunks()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    places = known["idx"].combine_chunks().take(pc.index_in(words.flatten(), known["token"].combine_chunks()))
+    lists = pa.ListArray.from_arrays(np.concatenate(([0], ends)).astype(np.int32), places)
+    return pa.table({**{k: texts[k] for k in keys}, "words": lists})
+
+
+def numbered_words(lists: DataFrame, vocab: DataFrame, words: str = "words", id_col: str = "doc_id") -> DataFrame:
+    """``(id, words)`` with each word's ``idx`` in the vocabulary in its place; null for words it lacks.
+
+    Blocks of texts meet the numbers of their distinct words, so that a text is shuffled once and not word by word.
+    """
+    texts = in_blocks(lists.select(F.col(id_col).alias("_id"), F.col(words).alias("_words")))
+    met = words_of_blocks(texts, "_words", vocab.select("token", F.col("idx").cast("long").alias("idx")))
+    blocks = texts.groupBy("block").cogroup(met.groupBy("of"))
+    schema = f"_id {dict(texts.dtypes)['_id']}, words array<long>"
+    return blocks.applyInArrow(lambda a, b: _numbered(a, b, ["_id"]), schema).select(F.col("_id").alias(id_col), "words")
+
+
+def training_examples(windows: DataFrame, vocab: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:
+    """Centre index and sparse context entries ``(idx, share)`` of every window; words the vocabulary lacks have none.
+
+    Without ``vocab`` the windows are those of ``numbered_words`` and nothing is joined. With it, windows of words are
+    joined with the vocabulary entry by entry.
+    """
+    rows = word_rows(windows, id_col)
+    if vocab is None:
+        rows = rows.filter("token is not null and center is not null")
+        return rows.select(id_col, "pos", F.col("center").alias("center_idx"), F.col("token").alias("idx"), "share")
     centers = vocab.select(F.col("token").alias("center"), F.col("idx").alias("center_idx"))
-    return (
-        word_rows(windows, id_col).join(vocab, "token").join(centers, "center").select(id_col, "pos", "center_idx", "idx", "share")
-    )
+    return rows.join(vocab, "token").join(centers, "center").select(id_col, "pos", "center_idx", "idx", "share")
 
 
 def one_hot(words: DataFrame, vocab: DataFrame, word: str = "token") -> DataFrame:

@@ -270,7 +270,8 @@ def context_windows(spark, sf_dir):
 )
 def training_examples(spark, sf_dir):
     vocab = corpus.vocabulary(word_rows(spark, sf_dir))
-    rows = corpus.training_examples(windows(spark, sf_dir), vocab)
+    numbered = corpus.numbered_words(fx.word_lists(spark, sf_dir), written(vocab))
+    rows = corpus.training_examples(corpus.context_windows(numbered, F.col("words"), 2))
     return rows.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("entries"),
         F.sum("share").alias("mass"),

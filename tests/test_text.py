@@ -160,3 +160,18 @@ def test_translations(spark):
     overrides = spark.createDataFrame([("Chile", "chili", "chili")], "source string, target string, vector_of string")
     rows = sorted((r["source"], r["target"], r["vec"]) for r in corpus.translations(entries, words, vectors, overrides).collect())
     assert rows == [("Chile", "chili", [1.0]), ("Peru", "pérou", [2.0])]
+
+
+def test_examples_of_numbered_words_equal_those_of_words(spark, monkeypatch):
+    from conceptlink.operators import vectors
+
+    monkeypatch.setattr(vectors, "_BLOCK_BITS", 1)
+    rows = [(1, "a b a c b d".split()), (2, []), (3, None), (4, ["x", None, "a", "a", "q", "x", "b"]), (4, "b b b b b b".split()), (None, "d c b a b".split())]
+    lists = spark.createDataFrame(rows, "doc_id long, words array<string>").repartition(2)
+    vocab = spark.createDataFrame([(w, i) for i, w in enumerate("abcdx")], "token string, idx long")
+    old = corpus.training_examples(corpus.context_windows(lists, F.col("words"), 2), vocab)
+    numbered = corpus.numbered_words(lists, vocab)
+    new = corpus.training_examples(corpus.context_windows(numbered, F.col("words"), 2))
+    assert new.columns == old.columns and sorted(map(str, new.collect())) == sorted(map(str, old.collect()))
+    assert new.count() == 16
+    assert "Join" not in corpus.training_examples(corpus.context_windows(lists, F.col("words"), 2))._jdf.queryExecution().optimizedPlan().toString()
