@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conceptlink.operators import clustering, descent, many_kmeans, summaries
 from conceptlink.operators.many_kmeans import Model
@@ -118,3 +119,28 @@ def test_descent_on_fewer_rows_than_neighbours(spark):
     found = descent.descent_neighbors(frame(spark, np.array([[0.0, 1.0], [2.0, 0.0], [9.0, 9.0], [9.0, 9.0]])), 8).collect()
     assert {(r["src"], r["dst"]) for r in found} == {(a, b) for a in range(4) for b in range(4) if a != b}
     assert descent.descent_neighbors(frame(spark, np.ones((1, 2))), 3).count() == 0
+
+
+def test_draws_of_reference_rows_are_those_of_spark(spark):
+    ids = spark.createDataFrame([(0,), (7,), (-3,), (2**60,)], "id long")
+    span = F.lit(float(1 << 52))
+    draw = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.pmod(F.xxhash64(F.lit(7), F.lit(4), "id", i), F.lit(1 << 52)) / span)
+    rows = ids.select(F.xxhash64(F.lit(7), F.lit(4), "id").alias("h"), draw.alias("u")).collect()
+    assert many_kmeans._uniform(np.array([r["h"] for r in rows]), 7).tolist() == [r["u"] for r in rows]
+
+
+def test_a_table_in_one_file_is_scanned_by_all_cores(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=2).tolist()) for i in range(200)]
+    spark.createDataFrame(rows, "id long, vec array<double>").coalesce(1).write.parquet(str(tmp_path / "p"))
+    seen, real = [], many_kmeans.fit_many
+
+    def noted(points, *args, **kw):
+        seen.append(points.rdd.getNumPartitions())
+        return real(points, *args, **kw)
+
+    monkeypatch.setattr(many_kmeans, "fit_many", noted)
+    points = spark.read.parquet(str(tmp_path / "p"))
+    many_kmeans.gap_scan(points, [1, 2], references=2)
+    many_kmeans.scan_numbers(points, [2], n_init=1)
+    assert min(seen) >= spark.sparkContext.defaultParallelism
