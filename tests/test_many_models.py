@@ -144,3 +144,16 @@ def test_a_table_in_one_file_is_scanned_by_all_cores(spark, tmp_path, monkeypatc
     many_kmeans.gap_scan(points, [1, 2], references=2)
     many_kmeans.scan_numbers(points, [2], n_init=1)
     assert min(seen) >= spark.sparkContext.defaultParallelism
+
+
+def test_projection_computes_its_points_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def noted(i):
+        made.add(1)
+        return [float(i % 7), float(i % 3), float(i)]
+
+    vec = F.udf(noted, "array<double>").asNondeterministic()
+    points = spark.range(60).select("id", vec("id").alias("vec"))
+    assert clustering.projected_kmeans(points, 2, 2, n_init=1).count() == 60
+    assert made.value == 60
