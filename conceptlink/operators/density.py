@@ -28,6 +28,33 @@ def _local_roots(adjacent: np.ndarray) -> np.ndarray:
         roots = lower
 
 
+def _lowest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lowest number that each of ``n`` numbers is linked to by the pairs (a, b)."""
+    roots = np.arange(n)
+    while True:
+        x, y = roots[a], roots[b]
+        lower = roots.copy()
+        np.minimum.at(lower, np.maximum(x, y), np.minimum(x, y))
+        while (lower[lower] != lower).any():
+            lower = lower[lower]
+        if (lower == roots).all():
+            return roots
+        roots = lower
+
+
+def _joined_links(found: pd.DataFrame) -> pd.DataFrame:
+    """Links of several blocks with one root for all that they join."""
+    core = found["core"].to_numpy().astype(bool)
+    ids, roots = found["id"].to_numpy(), found["root"].to_numpy()
+    names, at = np.unique(np.concatenate([ids[core], roots]), return_inverse=True)
+    a, b = at[: core.sum()], at[core.sum() :]
+    lowest = _lowest(len(names), a, b[core])
+    linked = np.flatnonzero(lowest != np.arange(len(names)))
+    inner = pd.DataFrame({"id": names[linked], "core": True, "root": names[lowest[linked]]})
+    border = pd.DataFrame({"id": ids[~core], "core": False, "root": names[lowest[b[~core]]]}).drop_duplicates()
+    return pd.concat([inner, border], ignore_index=True)
+
+
 def density_clusters(
     points: DataFrame, eps: float | None = None, min_points: int = 10, metric: str = "cosine", block: int = BLOCK
 ) -> DataFrame:
@@ -49,7 +76,10 @@ def density_clusters(
         near = _distances(_rows(a["x"]), _rows(b["x"])) <= limit + SLACK
         return pd.DataFrame({"id": a["id"], "n": near @ b["w"].to_numpy()})
 
-    counted = meet(rows, cells.rows, cells, count, f"id {kind}, n long", block).groupBy("id").agg(F.sum("n").alias("n"))
+    def added(found: pd.DataFrame) -> pd.DataFrame:
+        return found.groupby("id", as_index=False, sort=False)["n"].sum()
+
+    counted = meet(rows, cells.rows, cells, count, f"id {kind}, n long", block, added).groupBy("id").agg(F.sum("n").alias("n"))
     flagged = written(rows.join(counted, "id").withColumn("core", F.col("n") >= min_points).drop("n"))
 
     def link(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -69,7 +99,7 @@ def density_clusters(
         return pd.concat([*out, edge])
 
     residents = flagged.filter("core").drop("r", "core")
-    links = written(meet(flagged, residents, cells, link, f"id {kind}, core boolean, root {kind}", block).distinct())
+    links = written(meet(flagged, residents, cells, link, f"id {kind}, core boolean, root {kind}", block, _joined_links).distinct())
     cores = flagged.filter("core").select("id")
     edges = links.filter("core").select(F.col("id").alias("src"), F.col("root").alias("dst"))
     components = written(connected_components(cores, edges))

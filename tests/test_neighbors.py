@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conceptlink.operators import components, density, neighbors
 from conceptlink.operators.components import connected_components
@@ -118,3 +119,25 @@ def test_local_affinity_of_equal_rows_is_one(spark):
     assert rows[(1, 2)] == rows[(2, 1)] == 1.0
     assert rows[(1, 3)] == 0.0
     assert (1, 1) not in rows
+
+
+def test_rows_travel_to_few_regions_however_many_cells_there_are(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 6))
+    points = frame(spark, x)
+    seen = []
+    real = neighbors._visits
+
+    def visits(*args):
+        out = real(*args)
+        seen.append(out.select(F.size("regions").alias("n")).agg(F.max("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(neighbors, "_visits", visits)
+    got = {(r["src"], r["rank"]): r["dst"] for r in neighbors.nearest(points, 5, block=8).collect()}
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert got == {(i, j + 1): int(n) for i, row in enumerate(np.argsort(d, axis=1)[:, :5]) for j, n in enumerate(row)}
+    assert 1 < seen[0] <= 8  # 50 cells, 4 cores
+    one, many = (density.density_clusters(points, 1.2, 4, "euclidean", block).collect() for block in (2048, 8))
+    assert sorted(one) == sorted(many) and len({r["cluster_id"] for r in one}) > 1
