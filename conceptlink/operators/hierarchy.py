@@ -36,7 +36,9 @@ def _merge_rounds(points: DataFrame, edges: DataFrame, m: int) -> tuple[DataFram
     * Where they lead to a pair of small groups that took the same edge, the groups merge one after another in the order of their edges, with
       running sums of their sizes, up to the first edge that is longer than one leading elsewhere. The first merge with at least ``m``
       points begins a cluster; what comes after it falls out of that.
-    * Two large groups that took the same edge are the parts into which a cluster splits.
+    * Two large groups that took the same edge are the parts into which a cluster splits. Where the edges of other large groups lead to
+      them over large ones only, these join in the order of their edges, each a split of its own, up to the first edge that is longer than one
+      leading elsewhere. So a cluster that takes up one large group after another needs no round for each.
 
     All this contracts edges of the spanning forest, so the order between groups does not matter but for the cluster
     that a point falls out of; ``_climb`` finds that at the end.
@@ -49,7 +51,9 @@ def _merge_rounds(points: DataFrame, edges: DataFrame, m: int) -> tuple[DataFram
     splits, falls = [], []
     order = Window.partitionBy("component").orderBy("e", "u")
     before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("component")
+    whole, chain = Window.partitionBy("component"), Window.partitionBy("chain")
+    in_order = chain.orderBy("e", "u")
+    ahead, up_to = in_order.rowsBetween(Window.unboundedPreceding, -1), in_order.rowsBetween(Window.unboundedPreceding, 0)
     while current.limit(1).count():
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v"), "e"))
         picks = both.groupBy("u").agg(F.min(F.struct("e", "v")).alias("p")).select("u", "p.e", "p.v")
@@ -58,11 +62,23 @@ def _merge_rounds(points: DataFrame, edges: DataFrame, m: int) -> tuple[DataFram
         groups = connected_components(picks.select(F.col("u").alias("id")), small.select(F.col("u").alias("src"), F.col("v").alias("dst")))
         groups = written(groups.toDF("u", "component"))
 
-        # two large groups
-        pairs = picks.filter("cluster is not null").groupBy("e").agg(F.min("u").alias("x"), F.collect_list(F.struct("u", "cluster")).alias("sides")).filter(F.size("sides") == 2)
-        pairs = written(pairs.select("e", "x", "sides", name.alias("parent")))
-        splits.append(pairs.select(F.explode("sides.cluster").alias("cluster"), "parent", "e"))
-        joined = pairs.select(F.explode("sides.u").alias("u"), F.col("x").alias("into"), F.col("parent").alias("cluster"))
+        # large groups
+        big = picks.filter("cluster is not null")
+        linked = big.join(big.select(F.col("u").alias("v")), "v", "left_semi").select(F.col("u").alias("src"), F.col("v").alias("dst"))
+        chains = written(connected_components(big.select(F.col("u").alias("id")), linked).toDF("u", "chain"))
+        beyond = both.join(chains, "u").join(chains.toDF("v", "other"), "v", "left").filter("other is null or other <> chain")
+        beyond = beyond.groupBy("u").agg(F.min("e").alias("out"))
+        row = big.drop("v", "ids").join(chains, "u").join(beyond, "u", "left").withColumn("first", F.min("e").over(chain))
+        row = row.withColumn("sides", F.sum(F.when(F.col("e") == F.col("first"), 1).otherwise(0)).over(chain)).filter("sides = 2")
+        row = row.withColumn("out", F.min("out").over(ahead))
+        beaten = F.when((F.col("e") > F.col("first")) & (F.col("e") > F.col("out")), 1).otherwise(0)
+        row = row.withColumn("late", F.sum(beaten).over(up_to)).filter("late = 0").withColumn("place", F.row_number().over(in_order))
+        grown_from = F.when(F.col("place") == 2, F.lag("cluster").over(in_order)).otherwise(F.lag(name.cast(kind)).over(in_order))
+        top = F.max("e").over(chain)
+        row = row.withColumn("other", grown_from).withColumn("into", F.min("u").over(chain)).withColumn("top", top)
+        pairs = written(row.select("u", "cluster", "e", "other", "into", F.struct("top.a", "top.b").cast(kind).alias("top"), name.cast(kind).alias("parent"), "place"))
+        splits.append(pairs.filter("place > 1").select(F.explode(F.array("cluster", "other")).alias("cluster"), "parent", "e"))
+        joined = pairs.select("u", "into", F.col("top").alias("cluster"))
         large = picks.filter("cluster is not null").select("u", "cluster").join(joined.select("u", "into"), "u", "left").withColumn("into", F.coalesce("into", "u"))
         held = large.join(groups, "u").select("component", F.col("cluster").alias("at"), F.col("into").alias("host"))
 
@@ -99,17 +115,71 @@ def _union(parts: list[DataFrame]) -> DataFrame | None:
 
 
 def _climb(falls: DataFrame, splits: DataFrame) -> DataFrame:
-    """Falls from the cluster that is there at the fall's edge: up from the cluster noted, as long as that has merged into its parent before."""
-    up = splits.select("cluster", "parent", F.col("e").alias("merged"))
-    done = None
+    """Falls from the cluster that is there at the fall's edge: up from the cluster noted, as long as that has merged into its parent before.
+
+    Merges are later the further up, so a fall tries hops over ever fewer levels, each half as far as the one before.
+    """
+    hops = [written(splits.select("cluster", "parent", F.col("e").alias("merged")))]
     while True:
-        step = written(falls.join(up, "cluster", "left"))
-        higher = step.filter("merged < e").select("id", F.col("parent").alias("cluster"), "e")
-        here = step.filter("merged is null or merged >= e").select("id", "cluster", "e")
-        done = here if done is None else done.unionByName(here)
-        if not higher.limit(1).count():
-            return done
-        falls = higher
+        on = hops[-1].select(F.col("cluster").alias("parent"), F.col("parent").alias("far"), F.col("merged").alias("later"))
+        hop = hops[-1].join(on, "parent").select("cluster", F.col("far").alias("parent"), F.col("later").alias("merged"))
+        hop = written(hop)
+        if not hop.limit(1).count():
+            break
+        hops.append(hop)
+    for hop in reversed(hops):
+        here = F.when(F.col("merged") < F.col("e"), F.col("parent")).otherwise(F.col("cluster"))
+        falls = falls.join(hop, "cluster", "left").select("id", here.alias("cluster"), "e")
+    return falls
+
+
+_NEVER = float("-inf")
+
+
+def _fold_up(nodes: DataFrame) -> DataFrame:
+    """``(node, value)`` of a binary forest ``nodes`` (node, parent, least, plus, open): a node is worth ``plus`` and the worth of its ``open`` (0 or 2)
+    parts, and ``least`` at least.
+
+    Leaves pass their worth up, and chains of nodes that wait for one part are cut out of the tree: steps "at least s, or c more
+    than below" make such a step again, so pointers down a chain double. Each round at least halves the tree, however deep
+    it is. The nodes of a chain are worth what their joined step makes of the chain's end, once that is known.
+    """
+    # a node hands up what its own step (es, ec) makes of its worth
+    waiting = written(nodes.select("node", "parent", "least", "plus", "open", F.lit(_NEVER).alias("es"), F.lit(0.0).alias("ec")))
+    done, late = [], []
+    while True:
+        ready = waiting.filter("open = 0").withColumn("value", F.greatest("least", "plus"))
+        ready = written(ready.select("node", "parent", "value", F.greatest("es", F.col("ec") + F.col("value")).alias("up")))
+        done.append(ready.select("node", "value"))
+        sums = ready.groupBy(F.col("parent").alias("node")).agg(F.sum("up").alias("more"), F.count(F.lit(1)).alias("n"))
+        rest = waiting.filter("open > 0").join(sums, "node", "left")
+        plus, left = F.col("plus") + F.coalesce("more", F.lit(0.0)), F.col("open") - F.coalesce("n", F.lit(0))
+        rest = written(rest.select("node", "parent", "least", plus.alias("plus"), left.cast("int").alias("open"), "es", "ec"))
+        if not rest.limit(1).count():
+            break
+        part = rest.select(F.col("parent").alias("node"), F.col("node").alias("down"), F.col("es").alias("s"), F.col("ec").alias("c"))
+        low = F.greatest(F.col("least"), F.col("plus") + F.col("s"))
+        chain = rest.filter("open = 1").join(part, "node")
+        chain = written(chain.select("node", "parent", "down", low.alias("s"), (F.col("plus") + F.col("c")).alias("c")))
+        while True:
+            next_ = chain.select(F.col("node").alias("down"), F.col("down").alias("end"), F.col("s").alias("ns"), F.col("c").alias("nc"))
+            if not chain.join(next_, "down", "left_semi").limit(1).count():
+                break
+            s = F.when(F.col("end").isNull(), F.col("s")).otherwise(F.greatest("s", F.col("c") + F.col("ns")))
+            c = F.col("c") + F.coalesce("nc", F.lit(0.0))
+            chain = written(chain.join(next_, "down", "left").select("node", "parent", F.coalesce("end", "down").alias("down"), s.alias("s"), c.alias("c")))
+        late.append(chain.select("node", "down", "s", "c"))
+        tops = chain.join(chain.select(F.col("node").alias("parent")), "parent", "left_anti")
+        tops = tops.select(F.col("down").alias("node"), F.col("parent").alias("above"), "s", "c", F.lit(True).alias("cut"))
+        kept = rest.filter("open <> 1").join(tops, "node", "left")
+        step = [F.when(F.col("cut"), F.col(new)).otherwise(F.col(old)).alias(old) for old, new in (("parent", "above"), ("es", "s"), ("ec", "c"))]
+        waiting = written(kept.select("node", step[0], "least", "plus", "open", step[1], step[2]))
+    known = _union(done)
+    for chain in reversed(late):
+        ends = known.select(F.col("node").alias("down"), "value")
+        found = chain.join(ends, "down").select("node", F.greatest("s", F.col("c") + F.col("value")).alias("value"))
+        known = written(known.unionByName(found))
+    return known
 
 
 def _choose(tree: DataFrame, single_root: bool) -> tuple[DataFrame, DataFrame]:
@@ -118,25 +188,20 @@ def _choose(tree: DataFrame, single_root: bool) -> tuple[DataFrame, DataFrame]:
     ``tree`` has cluster, parent, birth, split (density at which it splits, if it does), own and left (number of its own points and sum of
     the densities at which they fall out). From the leaves up, a cluster is worth its own stability or the worth of its two parts, whichever
     is more, and its own on a tie; the topmost ones that are worth their own are chosen. A single root stands for all points
-    and is not chosen. There are as many rounds as the condensed tree is deep; then pointers to the parents double.
+    and is not chosen. Rounds are as many as the logarithm of the number of clusters (``_fold_up``); then pointers to the parents double.
     """
-    below = tree.filter("split is null").select("*", F.lit(0).cast("long").alias("parts"), F.lit(0.0).alias("below"))
-    waiting = written(tree.filter("split is not null"))
-    ready, done, sums = None, [], None
-    while True:
-        size = F.col("own") + F.col("parts")
-        stability = F.col("left") + F.coalesce(F.col("parts") * F.col("split"), F.lit(0.0)) - size * F.col("birth")
-        ready = below.select("cluster", "parent", size.alias("size"), stability.alias("stability"), "below", F.col("split").isNull().alias("leaf"))
-        ready = written(ready.withColumn("worth", F.when(F.col("leaf"), F.col("stability")).otherwise(F.greatest("stability", "below"))))
-        done.append(ready)
-        if not waiting.limit(1).count():
-            break
-        more = ready.groupBy(F.col("parent").alias("cluster")).agg(F.sum("size").alias("parts"), F.sum("worth").alias("below"), F.count(F.lit(1)).alias("n"))
-        sums = more if sums is None else sums.unionByName(more).groupBy("cluster").agg(F.sum("parts").alias("parts"), F.sum("below").alias("below"), F.sum("n").alias("n"))
-        sums = written(sums)
-        below = written(waiting.join(sums.filter("n = 2").drop("n"), "cluster"))
-        waiting = written(waiting.join(below.select("cluster"), "cluster", "left_anti"))
-    every = written(_union(done))
+    leaf, never = F.col("split").isNull(), F.lit(_NEVER)
+    node = [F.col("cluster").alias("node"), "parent"]
+    parts = F.when(leaf, 0).otherwise(2).alias("open")
+    sizes = _fold_up(tree.select(*node, never.alias("least"), F.col("own").cast("double").alias("plus"), parts))
+    size = F.col("value").cast("long")
+    stability = F.col("left") + F.coalesce((size - F.col("own")) * F.col("split"), F.lit(0.0)) - size * F.col("birth")
+    sized = tree.join(sizes.withColumnRenamed("node", "cluster"), "cluster")
+    sized = written(sized.select("cluster", "parent", "split", size.alias("size"), stability.alias("stability")))
+    least, plus = F.when(leaf, never).otherwise(F.col("stability")), F.when(leaf, F.col("stability")).otherwise(0.0)
+    worth = _fold_up(sized.select(*node, least.alias("least"), plus.alias("plus"), parts)).withColumnRenamed("node", "cluster")
+    below = worth.join(sized.select("cluster", "parent"), "cluster").groupBy(F.col("parent").alias("cluster")).agg(F.sum("value").alias("below"))
+    every = written(sized.join(below, "cluster", "left").withColumn("leaf", leaf))
     allowed = (F.col("leaf") | (F.col("stability") >= F.col("below"))) & (F.col("parent").isNotNull() if single_root else F.lit(True))
     paths = written(every.select("cluster", F.col("parent").alias("up"), F.when(allowed, F.col("cluster")).alias("top")))
     while paths.filter("up is not null").limit(1).count():

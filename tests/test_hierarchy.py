@@ -164,3 +164,20 @@ def test_density_hierarchy_without_clusters(spark):
     assert hierarchy.condense(points, copies, 2).tree.count() == 1
     with pytest.raises(ValueError):
         hierarchy.condense(points, chain, 1)
+
+
+def test_a_deep_tree_is_folded_in_few_rounds(spark, monkeypatch):
+    # a chain of 300 nodes with a leaf at each, and a second tree that is bushy
+    rng = np.random.default_rng(5)
+    rows = [(f"n{i}", f"n{i - 1}" if i else None, float(rng.random() * i), 0.0, 2) for i in range(300)]
+    rows += [(f"l{i}", f"n{i}", float("-inf"), float(rng.random()), 0) for i in range(300)] + [("z", "n299", float("-inf"), 0.5, 0)]
+    rows += [(f"b{i}", f"b{(i - 1) // 2}" if i else None, float(rng.random() * 3) if i < 15 else float("-inf"), float(i >= 15), 2 if i < 15 else 0) for i in range(31)]
+    want, parts = {}, {}
+    for node, parent, least, plus, _ in sorted(rows, key=lambda r: -int(r[0][1:] or 0) - 1000 * (r[0][0] in "lz")):
+        want[node] = max(least, plus + sum(parts.get(node, [])))
+        parts.setdefault(parent, []).append(want[node])
+    tables = []
+    monkeypatch.setattr(hierarchy, "written", lambda df: tables.append(1) or written(df))
+    got = hierarchy._fold_up(spark.createDataFrame(rows, "node string, parent string, least double, plus double, open int").coalesce(1))
+    assert {r["node"]: pytest.approx(r["value"]) for r in got.collect()} == want
+    assert len(tables) < 60
