@@ -62,6 +62,29 @@ def test_average_linkage_keeps_unlinked_parts_apart(spark):
     assert linkage.average_linkage(edges.limit(0)).count() == 0
 
 
+def test_average_linkage_by_blocks_equals_one_by_one_merging(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "BLOCK", 200)
+    points = cloud(spark, 120)
+    near = written(nearest(points, 8))
+    merges = written(linkage.average_linkage(near))
+    assert merges.count() == merges.select("b").distinct().count()
+    for k in (1, 30):
+        got = {r["id"]: r["cluster_id"] for r in linkage.cut_linkage(points, merges, k).collect()}
+        assert got == greedy_average(range(120), [tuple(r)[:3] for r in near.collect()], k)
+
+
+def test_average_linkage_of_copies_takes_no_round_for_each(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(linkage, "written", lambda df: tables.append(1) or written(df))
+    # copies link to the lowest ids, and all are nearest to the first
+    edges = [(i, j, 0.0) for i in range(60) for j in range(4) if i != j] + [(i, 60, 2.0) for i in range(4)]
+    for block in (1 << 19, 100):
+        monkeypatch.setattr(linkage, "BLOCK", block)
+        merges = linkage.average_linkage(spark.createDataFrame(edges, "src long, dst long, distance double")).collect()
+        assert sorted(map(tuple, merges)) == [(0, i, 0.0 if i < 60 else 2.0) for i in range(1, 61)]
+    assert len(tables) < 60
+
+
 def brute_hierarchy(ids, edges, m):
     """Condensed tree by merging one edge after another, and the chosen clusters from the top down."""
     table = {}
