@@ -228,7 +228,7 @@ def numbered_words(lists: DataFrame, vocab: DataFrame, words: str = "words", id_
 
     Blocks of texts meet the numbers of their distinct words, so that a text is shuffled once and not word by word.
     """
-    texts = in_blocks(lists.select(F.col(id_col).alias("_id"), F.col(words).alias("_words")))
+    texts = in_blocks(lists.select(F.col(id_col).alias("_id"), F.col(words).alias("_words")), "_words")
     met = words_of_blocks(texts, "_words", vocab.select("token", F.col("idx").cast("long").alias("idx")))
     blocks = texts.groupBy("block").cogroup(met.groupBy("of"))
     schema = f"_id {dict(texts.dtypes)['_id']}, words array<long>"
