@@ -157,3 +157,34 @@ def test_projection_computes_its_points_once(spark):
     points = spark.range(60).select("id", vec("id").alias("vec"))
     assert clustering.projected_kmeans(points, 2, 2, n_init=1).count() == 60
     assert made.value == 60
+
+
+def test_models_of_a_held_table_end_where_the_scans_end(points, data, monkeypatch):
+    box = np.stack([data.min(axis=0), data.max(axis=0)])
+    asked = [Model(k, 0, c) for k in (1, 3, 60) for c in (-1, 0)]
+    held = many_kmeans.fit_many(points, asked, box)
+    monkeypatch.setattr(many_kmeans, "HELD", 0)
+    for a, b in zip(held, many_kmeans.fit_many(points, asked, box)):
+        assert (a.k, a.start, a.copy, a.steps) == (b.k, b.start, b.copy, b.steps)
+        assert np.allclose(a.centers, b.centers, atol=1e-9) and a.cost == pytest.approx(b.cost)
+
+
+def test_each_group_of_models_has_a_task_of_its_own(spark):
+    keys = many_kmeans._keys(spark, 13)
+    dealt = spark.createDataFrame([(k,) for k in keys], "key int").repartition(13, "key")
+    assert dealt.select(F.spark_partition_id()).distinct().count() == len(set(keys)) == 13
+
+
+def test_a_held_table_is_not_scanned_for_every_step(points, monkeypatch):
+    monkeypatch.setattr(many_kmeans, "_scan", None)
+    assert [m.k for m in many_kmeans.fit_many(points, [Model(2), Model(9)])] == [2, 9]
+
+
+def test_fits_far_from_the_origin_are_exact():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4)) * 1e-3
+    low, squares = x.astype(np.float32), (x * x).sum(axis=1)
+    start = many_kmeans._spread_starts(x + 1e4, [7], [rng])[0] - 1e4
+    centers, cost, _ = many_kmeans._fit_held(x, start, 100, 1e-9, low, squares)
+    want, least = lloyd(x, start)
+    assert np.allclose(centers, want, atol=1e-8) and cost == pytest.approx(least)
