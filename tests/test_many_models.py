@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conceptlink.operators import clustering, descent, many_kmeans, summaries
 from conceptlink.operators.many_kmeans import Model
+from conceptlink.operators.staging import partition_keys
 
 K = 5
 
@@ -170,7 +171,7 @@ def test_models_of_a_held_table_end_where_the_scans_end(points, data, monkeypatc
 
 
 def test_each_group_of_models_has_a_task_of_its_own(spark):
-    keys = many_kmeans._keys(spark, 13)
+    keys = partition_keys(spark, 13)
     dealt = spark.createDataFrame([(k,) for k in keys], "key int").repartition(13, "key")
     assert dealt.select(F.spark_partition_id()).distinct().count() == len(set(keys)) == 13
 

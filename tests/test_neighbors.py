@@ -141,3 +141,26 @@ def test_rows_travel_to_few_regions_however_many_cells_there_are(spark, monkeypa
     assert 1 < seen[0] <= 8  # 50 cells, 4 cores
     one, many = (density.density_clusters(points, 1.2, 4, "euclidean", block).collect() for block in (2048, 8))
     assert sorted(one) == sorted(many) and len({r["cluster_id"] for r in one}) > 1
+
+
+def test_near_pairs_hold_the_nearest_at_any_scale():
+    rng = np.random.default_rng(5)
+    spread = rng.normal(size=(300, 6))
+    crowded = np.vstack([1e-7 * rng.normal(size=(200, 6)), rng.normal(size=(100, 6))])
+    for rows in (spread, 1e5 + spread, 1e-6 * spread, crowded):
+        x, y = rows[:120], rows[100:]
+        d = np.linalg.norm(x[:, None] - y, axis=2)
+        for radius in (np.inf, float(np.median(d))):
+            i, j, exact = neighbors._near_pairs(x, y, np.full(len(x), radius), 4)
+            assert np.allclose(exact, d[i, j]) and len(set(zip(i, j))) == len(i)
+            got = set(zip(i.tolist(), j.tolist()))
+            for row in range(len(x)):
+                assert all((row, c) in got for c in np.argsort(d[row])[:5] if d[row, c] <= radius)
+
+
+def test_few_pairs_are_measured_of_many(monkeypatch):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(256, 16)), rng.normal(size=(512, 16))
+    monkeypatch.setattr(neighbors, "_distances", None)
+    i, _, _ = neighbors._near_pairs(x, y, np.full(256, np.inf), 4)
+    assert 256 * 5 <= len(i) <= 256 * 6

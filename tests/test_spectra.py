@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conceptlink.operators import neighbors, spectra
+from conceptlink.operators import clustering, neighbors, spectra
 from conceptlink.operators.staging import written
 
 
@@ -63,3 +63,33 @@ def test_small_graphs_use_all_their_vectors(spark):
     assert [round(r["eigenvalue"], 6) for r in gaps] == [0.0, 2.0]
     with pytest.raises(ValueError):
         spectra.laplacian_gaps(edges.limit(0))
+
+
+def test_held_graphs_need_no_join_for_a_product(spark, monkeypatch):
+    _, edges = graph(spark, np.random.default_rng(3).normal(size=(90, 3)), 6)
+    (want, _), _ = dense(edges, 90)
+    monkeypatch.setattr(spectra, "_product", None)
+    held = [r["eigenvalue"] for r in spectra.laplacian_gaps(edges, 6).orderBy("position").collect()]
+    assert np.allclose(held, want[:6], atol=1e-6)
+
+
+def test_large_graphs_are_joined_and_give_the_same(spark, monkeypatch):
+    _, edges = graph(spark, rings(12), 4)
+    held = spectra.leading_vectors(edges, 3)[1]
+    monkeypatch.setattr(spectra, "HELD", 0)
+    assert np.allclose(spectra.leading_vectors(edges, 3)[1], held, atol=1e-6)
+
+
+def test_rows_of_a_matrix_are_computed_once_for_all_steps(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def noted(i):
+        made.add(1)
+        return [1.0 / (1 + i), 0.5]
+
+    vs = F.udf(noted, "array<double>").asNondeterministic()
+    rows = spark.range(150).select(F.array(F.col("id").cast("int"), F.lit(150)).alias("js"), vs("id").alias("vs"))
+    m = np.zeros((150, 151))
+    m[np.arange(150), np.arange(150)], m[:, 150] = 1 / (1 + np.arange(150)), 0.5
+    got = clustering._singular_values(rows, 151, 3)
+    assert np.allclose(got, np.linalg.svd(m)[1][:3]) and made.value == 150
