@@ -24,6 +24,7 @@ from conceptlink.operators.staging import written
 SLOT = 256  # rows whose lists are handled together
 RANDOM_LINKS = 2  # links across the whole table that each row starts with
 GRAPH = "src long, dst long, d double"
+ROUNDING = 1e-6  # by which a distance may differ in another product
 
 
 def _best(links: DataFrame, k: int) -> DataFrame:
@@ -61,13 +62,16 @@ def _nearest_of(ids: np.ndarray, others: np.ndarray, d: np.ndarray, k: int) -> p
 
 
 def _introductions(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """Let the guests of each host of a slot meet; pairs of two old guests have met before."""
+    """Let the guests of each host of a slot meet; pairs of two old guests have met before.
+
+    A guest takes home the ``k`` nearest it has met in the slot, none beyond ``far``, its k-th nearest so far: no others can be among its best.
+    """
 
     def meet(lists: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         if lists.empty:
             return pd.DataFrame({"src": [], "dst": [], "d": []})
         order = np.argsort(vectors["idx"].to_numpy())
-        known, x = vectors["idx"].to_numpy()[order], _rows(vectors["x"])[order]
+        known, x, far = vectors["idx"].to_numpy()[order], _rows(vectors["x"])[order], vectors["far"].to_numpy()[order]
         by_host = np.argsort(lists["host"].to_numpy(), kind="stable")
         host, guest, fresh_ = (lists[c].to_numpy()[by_host] for c in ("host", "guest", "fresh"))
         place = np.searchsorted(known, guest)
@@ -76,9 +80,18 @@ def _introductions(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFram
             ids, fresh, rows = guest[at], fresh_[at], x[place[at]]
             d = _distances(rows, rows)
             d[~(fresh[:, None] | fresh[None, :])] = np.inf
+            d[d > far[place[at]][:, None] + ROUNDING * (1 + d)] = np.inf
             np.fill_diagonal(d, np.inf)
             found.append(_nearest_of(ids, ids, d, k))
-        return pd.concat(found, ignore_index=True).drop_duplicates(["src", "dst"])
+        src, dst, d = (np.concatenate([f[c].to_numpy() for f in found]) for c in ("src", "dst", "d"))
+        order = np.lexsort((dst, src))
+        src, dst, d = src[order], dst[order], d[order]
+        first = np.flatnonzero((np.diff(src, prepend=-1) != 0) | (np.diff(dst, prepend=-1) != 0))
+        src, dst, d = src[first], dst[first], np.minimum.reduceat(d, first) if len(first) else d
+        order = np.lexsort((dst, d, src))
+        src, dst, d = src[order], dst[order], d[order]
+        best = np.arange(len(src)) - np.searchsorted(src, src) < k
+        return pd.DataFrame({"src": src[best], "dst": dst[best], "d": d[best]})
 
     return meet
 
@@ -99,10 +112,12 @@ def descend(rows: DataFrame, k: int, least_change: float, rounds: int, seed: int
         ahead = graph.select(F.col("src").alias("host"), F.col("dst").alias("guest"), "fresh")
         taken = _sampled(ahead, k, seed + turn)
         back = _sampled(taken.select(F.col("guest").alias("host"), F.col("host").alias("guest"), "fresh"), k, seed + turn)
+        reach = graph.filter(F.col("rank") == k).select(F.col("src").alias("idx"), F.col("d").alias("far"))
+        vectors = rows.select("idx", "x").join(reach, "idx", "left").withColumn("far", F.coalesce("far", F.lit(float("inf"))))
         itself = rows.select(F.col("idx").alias("host"), F.col("idx").alias("guest"), F.lit(True).alias("fresh"))
         guests = taken.unionByName(back).unionByName(itself).groupBy("host", "guest").agg(F.max("fresh").alias("fresh"))
         lists = written(guests.withColumn("slot", F.floor(F.col("host") / SLOT)))
-        wanted = lists.select(F.col("slot").alias("asker"), F.col("guest").alias("idx")).distinct().join(rows.select("idx", "x"), "idx")
+        wanted = lists.select(F.col("slot").alias("asker"), F.col("guest").alias("idx")).distinct().join(vectors, "idx")
         met = lists.groupBy("slot").cogroup(wanted.groupBy("asker")).applyInPandas(_introductions(k), GRAPH)
         # what was sampled has now been introduced; the other fresh links wait for a later round
         done = taken.select(F.col("host").alias("src"), F.col("guest").alias("dst"), F.lit(True).alias("_done"))

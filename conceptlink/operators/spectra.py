@@ -152,7 +152,9 @@ def _held_vectors(nodes: DataFrame, n: int, k: int, tolerance: float, rounds: in
             first = _rotated(block.select("at", "x", "y"), turn).select("at", F.slice("x", 1, k).alias("x"))
             return nodes.select("id", "at", "degree").join(first, "at").select("id", "degree", "x"), 2 * (1 - values[:k]), residuals[:k]
         c = min(max(float(values[-1]), 1e-3), 1 - 1e-9)
-        degree = int(np.clip(np.log(2 * _GAIN) / np.arccosh(2 / c - 1), 1, _MOST_DEGREE))
+        # no further than the residuals ask for
+        asked = np.log(6 * max(residuals[:k].max() / tolerance, 1.0)) / np.arccosh(max(2 * values[k - 1] / c - 1, 1 + 1e-9))
+        degree = int(np.clip(min(np.log(2 * _GAIN) / np.arccosh(2 / c - 1), asked), 1, _MOST_DEGREE))
         block = once(block, turn, c, degree)
     raise RuntimeError(f"residuals up to {residuals[:k].max()} after {rounds} rounds")
 

@@ -189,3 +189,20 @@ def test_fits_far_from_the_origin_are_exact():
     centers, cost, _ = many_kmeans._fit_held(x, start, 100, 1e-9, low, squares)
     want, least = lloyd(x, start)
     assert np.allclose(centers, want, atol=1e-8) and cost == pytest.approx(least)
+
+
+def test_guests_take_home_only_what_may_be_among_their_best():
+    import pandas as pd
+
+    x = np.random.default_rng(2).normal(size=(60, 4))
+    d = np.linalg.norm(x[:, None] - x, axis=2)
+    np.fill_diagonal(d, np.inf)
+    hosts = [(h, g) for h in range(3) for g in range(h * 10, h * 10 + 40)]
+    lists = pd.DataFrame({"host": [h for h, _ in hosts], "guest": [g for _, g in hosts], "fresh": True})
+    far = np.where(np.arange(60) % 2, np.sort(d, axis=1)[:, 1], np.inf)
+    vectors = pd.DataFrame({"idx": np.arange(60), "x": list(x), "far": far})
+    found = descent._introductions(3)(lists, vectors)
+    for g in range(60):
+        with_ = sorted({b for h in range(3) for b in range(h * 10, h * 10 + 40) if h * 10 <= g < h * 10 + 40 and b != g}, key=lambda b: d[g, b])[:3]
+        mine = found[found["src"] == g]
+        assert mine["dst"].tolist() == [b for b in with_ if d[g, b] <= far[g] + 1e-9] and np.allclose(mine["d"], d[g, mine["dst"]])
